@@ -153,7 +153,8 @@ def _event_stream(t: SampleTables) -> DataFrame:
 
 
 def _stream_messages(t: SampleTables) -> DataFrame:
-    timed = t.messages_of(_stream(t, "conversations")).withColumn("ts", F.timestamp_millis(F.col("timestamp")))
+    sent = F.timestamp_millis(F.lit(AS_OF_MS) + F.col("timestamp"))
+    timed = t.messages_of(_stream(t, "conversations")).withColumn("ts", sent)
     return streams.run_upserts(streams.ingest_messages(timed), ["roomuniqueid", "timestamp"])
 
 

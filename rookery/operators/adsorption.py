@@ -42,6 +42,10 @@ class Adsorption:
     converged: bool
 
 
+def _kind(id_column: str) -> Column:
+    return F.pmod(id_column, F.lit(4))
+
+
 def _type_code(name: str) -> Column:
     code = F.when(F.col(name) == "user", 0).when(F.col(name) == "category", 1).otherwise(2)
     return code.cast("bigint")
@@ -105,7 +109,7 @@ class _Graph:
         They share one in-edge: same source, same weight, and no other.
         """
         lone = (
-            coded.where(F.pmod("dst", F.lit(4)) != TYPE_CODES["user"])
+            coded.where(_kind("dst") != TYPE_CODES["user"])
             .groupBy(F.col("dst").alias("node"))
             .agg(F.count("*").alias("n"), F.min("src").alias("src"), F.min("w").alias("w"))
             .where("n = 1")
@@ -143,6 +147,17 @@ class _Graph:
         return copied.drop("salts"), dealt.drop("salts"), ["src", "salt"]
 
 
+def _arriving(graph: _Graph, nodes: DataFrame) -> DataFrame:
+    """Nodes that stay in play, with the weight of their edges from nodes that carry labels."""
+    senders = nodes.withColumnsRenamed({"node": "src", "total": "src_total"})
+    return (
+        graph.edges.join(senders, "src")
+        .join(nodes.select(F.col("node").alias("dst")), "dst", "left_semi")
+        .groupBy(F.col("dst").alias("node"))
+        .agg(F.sum(F.when(F.col("src_total") > 0, F.col("w")).otherwise(0.0)).alias("base"))
+    )
+
+
 def propagate_step(graph: _Graph, labels: DataFrame, nodes: DataFrame, arriving: DataFrame) -> DataFrame:
     """One round of label flow: ``(node, label, mass, before, own)``.
 
@@ -204,7 +219,7 @@ def run_adsorption(
     scratch = Scratch(edges.sparkSession, "adsorption")
     graph = _Graph(edges, users, scratch, fan_limit)
 
-    is_user = F.pmod("id", F.lit(4)) == TYPE_CODES["user"]
+    is_user = _kind("id") == TYPE_CODES["user"]
     ids = graph.names.select(F.col("id").alias("node"), is_user.alias("user"))
     standing = ids.join(graph.twins.select("node"), "node", "left_anti")
     nodes = standing.select("node", F.when(F.col("user"), 1.0).otherwise(0.0).alias("total"))
@@ -213,15 +228,18 @@ def run_adsorption(
     )
 
     labels, rounds, converged = start, 0, False
+    arriving, in_play, all_carry, settled = None, None, False, False
     while rounds < max_iter and not converged:
         rounds += 1
-        into = (
-            graph.edges.join(nodes.withColumnsRenamed({"node": "src", "total": "src_total"}), "src")
-            .join(nodes.select(F.col("node").alias("dst")), "dst", "left_semi")
-            .groupBy(F.col("dst").alias("node"))
-            .agg(F.sum(F.when(F.col("src_total") > 0, F.col("w")).otherwise(0.0)).alias("base"))
-        )
-        arriving = scratch.save(into, f"arriving_{rounds}")
+        if not settled:
+            arriving = scratch.save(_arriving(graph, nodes), f"arriving_{rounds}")
+            before, carried = in_play, all_carry
+            in_play, carriers = arriving.agg(
+                F.count("*"), F.count_if((F.col("base") > 0) | (_kind("node") == TYPE_CODES["user"]))
+            ).first()
+            all_carry = carriers == in_play
+            # nobody left and every sender had labels: all later rounds see the same
+            settled = in_play == before and carried
         labels = scratch.save(
             propagate_step(graph, _lifted(labels), nodes, arriving), f"labels_{rounds}", ("own",)
         )
@@ -238,7 +256,6 @@ def run_adsorption(
             )
         if rounds > 1:
             scratch.drop(f"labels_{rounds - 1}")
-            scratch.drop(f"arriving_{rounds - 1}")
 
     return Adsorption(_decode(graph, labels, nodes), rounds, converged)
 
