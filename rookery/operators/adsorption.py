@@ -182,8 +182,10 @@ def propagate_step(graph: _Graph, labels: DataFrame, nodes: DataFrame, arriving:
     )
     current = labels.where("mass > 0").select(F.col("node").alias("src"), "label", "mass")
     current, arcs, keys = graph.salted(current, arcs)
+    # a shuffled join on both sides: labels outgrow their file size once decoded, each
+    # meets many arcs, and only shuffled sides let the session split skewed partitions
     received = (
-        current.join(arcs, keys)
+        current.join(arcs.hint("merge"), keys)
         .groupBy(F.col("dst").alias("node"), "label")
         .agg(
             F.sum(F.col("mass") * F.col("w")).alias("mass"),

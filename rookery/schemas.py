@@ -4,54 +4,75 @@ Timestamps are epoch milliseconds; the stored tables hold them as strings, the
 operators work on ``bigint``.
 """
 
-from pyspark.sql.types import StructType
-
-ARTICLE_RAW = StructType.fromDDL(
-    "authors STRING, category STRING, date STRING, headline STRING, link STRING, "
-    "short_description STRING"
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    DateType,
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
 )
 
-ARTICLE = StructType.fromDDL(
-    "author STRING, category STRING, date DATE, headline STRING, link STRING, description STRING"
-)
+TEXT, FLAG, WHOLE, REAL, DAY = StringType(), BooleanType(), LongType(), DoubleType(), DateType()
+TEXT_SET = ArrayType(TEXT)
 
-USER = StructType.fromDDL(
-    "username STRING, password STRING, firstname STRING, lastname STRING, email STRING, "
-    "affiliation STRING, birthday STRING, interests ARRAY<STRING>, loggedin BOOLEAN, "
-    "likednewsarticles ARRAY<STRING>, seenarticles ARRAY<STRING>"
-)
 
-USER_SEARCH = StructType.fromDDL("fullname STRING, username STRING")
+def _table(**columns: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in columns.items()])
 
-FRIEND = StructType.fromDDL("username1 STRING, timestamp STRING, username2 STRING")
 
-WALL_POST = StructType.fromDDL(
-    "posterusername STRING, postuniqueid STRING, timestamp STRING, content STRING, "
-    "wallusername STRING, flipped BOOLEAN"
+ARTICLE_RAW = _table(
+    authors=TEXT, category=TEXT, date=TEXT, headline=TEXT, link=TEXT, short_description=TEXT
 )
 
-STATUS_POST = StructType.fromDDL(
-    "posterusername STRING, postuniqueid STRING, timestamp STRING, content STRING"
-)
+ARTICLE = _table(author=TEXT, category=TEXT, date=DAY, headline=TEXT, link=TEXT, description=TEXT)
 
-COMMENT = StructType.fromDDL(
-    "usernameofcommentor STRING, postuniqueid STRING, timestamp STRING, content STRING"
+USER = _table(
+    username=TEXT,
+    password=TEXT,
+    firstname=TEXT,
+    lastname=TEXT,
+    email=TEXT,
+    affiliation=TEXT,
+    birthday=TEXT,
+    interests=TEXT_SET,
+    loggedin=FLAG,
+    likednewsarticles=TEXT_SET,
+    seenarticles=TEXT_SET,
 )
 
-MEMBERSHIP = StructType.fromDDL("roomuniqueid BIGINT, member STRING, roomname STRING")
+USER_SEARCH = _table(fullname=TEXT, username=TEXT)
+
+FRIEND = _table(username1=TEXT, timestamp=TEXT, username2=TEXT)
 
-MESSAGE = StructType.fromDDL(
-    "roomuniqueid BIGINT, timestamp STRING, content STRING, sender STRING"
+WALL_POST = _table(
+    posterusername=TEXT, postuniqueid=TEXT, timestamp=TEXT, content=TEXT, wallusername=TEXT, flipped=FLAG
 )
 
-KEYWORD_INDEX = StructType.fromDDL("keyword STRING, link STRING")
+STATUS_POST = _table(posterusername=TEXT, postuniqueid=TEXT, timestamp=TEXT, content=TEXT)
+
+COMMENT = _table(usernameofcommentor=TEXT, postuniqueid=TEXT, timestamp=TEXT, content=TEXT)
+
+MEMBERSHIP = _table(roomuniqueid=WHOLE, member=TEXT, roomname=TEXT)
+
+MESSAGE = _table(roomuniqueid=WHOLE, timestamp=TEXT, content=TEXT, sender=TEXT)
+
+KEYWORD_INDEX = _table(keyword=TEXT, link=TEXT)
 
-CATALOG = StructType.fromDDL(
-    "link STRING, likes BIGINT, headline STRING, date STRING, author STRING, "
-    "description STRING, category STRING"
+CATALOG = _table(
+    link=TEXT, likes=WHOLE, headline=TEXT, date=TEXT, author=TEXT, description=TEXT, category=TEXT
 )
 
-SCORE = StructType.fromDDL(
-    "username STRING, link STRING, author STRING, category STRING, date STRING, "
-    "headline STRING, description STRING, weight DOUBLE"
+SCORE = _table(
+    username=TEXT,
+    link=TEXT,
+    author=TEXT,
+    category=TEXT,
+    date=TEXT,
+    headline=TEXT,
+    description=TEXT,
+    weight=REAL,
 )
