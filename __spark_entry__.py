@@ -16,6 +16,7 @@ from rookery.operators import changelog, chat, feeds, graph, people, ranking, se
 from rookery.operators.adsorption import Adsorption, initial_labels, run_adsorption
 from rookery.plans.recommend import refresh
 from rookery.plans.scratch import Scratch
+from rookery.schemas import KEYWORD_INDEX
 from rookery.sources import articles as corpus, sinks, tables
 from rookery.sources.sample_tables import (
     AS_OF,
@@ -107,6 +108,12 @@ def _seen_snapshot(t: SampleTables) -> DataFrame:
     return t.spark.read.schema(t.seen.schema).parquet(path)
 
 
+def _stored_index(t: SampleTables) -> DataFrame:
+    path = Scratch(t.spark, "index").path("keywords")
+    sinks.write_keyword_index(search.build_keyword_index(t.articles, t.stopwords, stem_words=False), path)
+    return t.spark.read.schema(KEYWORD_INDEX).parquet(path)
+
+
 def _search(t: SampleTables, stem_words: bool) -> DataFrame:
     index = search.build_keyword_index(t.articles, t.stopwords, stem_words)
     hits = search.search_articles(t.queries, index, _scores(t), _liked_catalog(t), stem_words)
@@ -215,6 +222,7 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "scheduled_refresh": _scheduled_refresh,
     # text and search
     "keyword_index": lambda t: search.build_keyword_index(t.articles, t.stopwords, stem_words=False),
+    "stored_keyword_index": _stored_index,
     "keyword_index_stemmed": lambda t: search.build_keyword_index(t.articles, t.stopwords),
     "query_words": lambda t: _position(search.normalize_queries(t.queries, stem_words=False), "pos"),
     "search_ranked": lambda t: _search(t, stem_words=False),

@@ -334,6 +334,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         # text and search
         "keyword_index": _plain("SELECT * FROM index_words"),
+        "stored_keyword_index": _plain("SELECT * FROM index_words"),
         "query_words": _plain(
             """SELECT query_id, username, CAST(pos AS BIGINT) - 1 AS pos, keyword FROM (
                  SELECT query_id, username, generate_subscripts(words, 1) AS pos, unnest(words) AS keyword

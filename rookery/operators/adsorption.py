@@ -158,22 +158,29 @@ def _arriving(graph: _Graph, nodes: DataFrame) -> DataFrame:
     )
 
 
-def propagate_step(graph: _Graph, labels: DataFrame, nodes: DataFrame, arriving: DataFrame) -> DataFrame:
-    """One round of label flow: ``(node, label, mass, before, own)``.
+def _live_edges(graph: _Graph, nodes: DataFrame, arriving: DataFrame) -> DataFrame:
+    """Edges between nodes in play; the target of one always stays."""
+    return graph.edges.join(nodes.select(F.col("node").alias("src")), "src", "left_semi").join(
+        arriving.select(F.col("node").alias("dst")), "dst", "left_semi"
+    )
+
+
+def propagate_step(
+    graph: _Graph, edges: DataFrame, labels: DataFrame, nodes: DataFrame, staying: DataFrame | None
+) -> DataFrame:
+    """One round of label flow over the live ``edges``: ``(node, label, mass, before, own)``.
 
-    ``nodes(node, total)`` are the nodes in play with their scale, ``arriving(node,
-    base)`` those that stay. Each staying node also has an arc to itself, which moves
-    no mass but carries its scaled value along for the stop test, and keeps the own
-    label of a user alive.
+    ``nodes(node, total)`` are the nodes in play with their scale; ``staying`` those
+    that remain, None when all do. Each staying node also has an arc to itself, which
+    moves no mass but carries its scaled value along for the stop test, and keeps the
+    own label of a user alive.
     """
     scaled = nodes.where("total > 0")
-    staying = arriving.select("node")
-    flow = (
-        graph.edges.join(scaled.withColumnRenamed("node", "src"), "src")
-        .join(staying.withColumnRenamed("node", "dst"), "dst", "left_semi")
-        .select("src", "dst", (F.col("w") / F.col("total")).alias("w"))
+    flow = edges.join(scaled.withColumnRenamed("node", "src"), "src").select(
+        "src", "dst", (F.col("w") / F.col("total")).alias("w")
     )
-    stay = scaled.join(staying, "node", "left_semi").select(
+    kept = scaled if staying is None else scaled.join(staying.select("node"), "node", "left_semi")
+    stay = kept.select(
         F.col("node").alias("src"), F.col("node").alias("dst"), (1.0 / F.col("total")).alias("w")
     )
     zero = F.lit(0.0)
@@ -230,7 +237,7 @@ def run_adsorption(
     )
 
     labels, rounds, converged = start, 0, False
-    arriving, in_play, all_carry, settled = None, None, False, False
+    arriving, live, in_play, all_carry, settled = None, None, None, False, False
     while rounds < max_iter and not converged:
         rounds += 1
         if not settled:
@@ -242,8 +249,13 @@ def run_adsorption(
             all_carry = carriers == in_play
             # nobody left and every sender had labels: all later rounds see the same
             settled = in_play == before and carried
+            live = _live_edges(graph, nodes, arriving)
+            if settled:
+                live = scratch.save(live, "live")
         labels = scratch.save(
-            propagate_step(graph, _lifted(labels), nodes, arriving), f"labels_{rounds}", ("own",)
+            propagate_step(graph, live, _lifted(labels), nodes, None if settled else arriving),
+            f"labels_{rounds}",
+            ("own",),
         )
         lift = F.greatest(F.lit(1.0) - F.col("mass"), F.lit(0.0))
         own = labels.where("own").select("node", lift.alias("lift"))

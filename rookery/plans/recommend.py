@@ -60,6 +60,7 @@ def refresh(
 
 def store_refresh(result: Refresh, folder: str) -> None:
     """Replace the score and recommendation tables, both keyed by (username, link)."""
-    write_snapshot(result.scores, f"{folder}/scores", ["username", "link"])
-    write_snapshot(result.recommendations, f"{folder}/recommendations", ["username", "link"])
+    key = ["username", "link"]
+    write_snapshot(result.scores, f"{folder}/scores", key, cluster_by=key)
+    write_snapshot(result.recommendations, f"{folder}/recommendations", key, cluster_by=key)
     result.seen.write.mode("overwrite").parquet(f"{folder}/seen")
