@@ -7,7 +7,7 @@ millisecond. Current state is a grouped maximum per key, so it combines map-side
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rookery.functions.scalar import (
     MILLIS_PER_DAY,
@@ -18,6 +18,7 @@ from rookery.functions.scalar import (
     sha256_hex,
 )
 from rookery.operators.ordered import latest, previous_value
+from rookery.plans.scratch import Scratch
 
 # The categories an account may declare.
 VALID_CATEGORIES = (
@@ -114,88 +115,127 @@ def not_in_whitelist(df: DataFrame, column: str, allowed: Sequence[str] = VALID_
     return df.where(~F.coalesce(F.col(column).isin(*allowed), F.lit(False)))
 
 
+def _fold_interests(
+    batches: Iterator[pd.DataFrame], allowed: frozenset[str], states_only: bool
+) -> Iterator[pd.DataFrame]:
+    """Reads sorted rows: a start row with the held set, then that key's changes in order.
+
+    Yields the outcome of every change, or with ``states_only`` the set each key ends
+    with. One key's set is the only state kept between batches.
+    """
+    key, exists, current = None, False, set()
+    for batch in batches:
+        outcomes, ended = [], []
+        columns = (batch[c] for c in ("username", "chunk", "held", "action", "category"))
+        for name, chunk, held, action, category in zip(*columns):
+            if (name, chunk) != key:
+                if exists:
+                    ended.append((*key, sorted(current)))
+                key, exists, current = (name, chunk), False, set()
+            outcome = None
+            if held is not None:
+                exists, current = True, set(held)
+            elif not exists:
+                outcome = "unknown_user"
+            elif action == "add":
+                if category in current:
+                    outcome = "already_interested"
+                elif category not in allowed:
+                    outcome = "invalid_category"
+                else:
+                    current.add(category)
+                    outcome = "accepted"
+            elif len(current) < MIN_INTERESTS_TO_DELETE:
+                outcome = "too_few"
+            elif category not in current:
+                outcome = "not_interested"
+            else:
+                current.remove(category)
+                outcome = "accepted"
+            outcomes.append(outcome)
+        if states_only:
+            yield pd.DataFrame(ended, columns=["username", "chunk", "held"])
+        else:
+            decided = batch.assign(outcome=outcomes)
+            yield decided[decided["outcome"].notna()].drop(columns=["chunk", "stage", "held"])
+    if states_only and exists:
+        yield pd.DataFrame([(*key, sorted(current))], columns=["username", "chunk", "held"])
+
+
+def _run_fold(starts: DataFrame, changes: DataFrame, allowed: Sequence[str], states_only: bool) -> DataFrame:
+    """``starts(username, chunk, held)`` and ``changes`` with a chunk, folded per chunk."""
+    first = starts.withColumn("stage", F.lit(0))
+    rest = changes.withColumn("stage", F.lit(1))
+    ordered = (
+        first.unionByName(rest, allowMissingColumns=True)
+        .select("username", "chunk", "stage", "timestamp", "seq", "action", "category", "held")
+        .repartition("username", "chunk")
+        .sortWithinPartitions("username", "chunk", "stage", "timestamp", "seq")
+    )
+    schema = (
+        "username string, chunk bigint, held array<string>"
+        if states_only
+        else "username string, timestamp bigint, seq bigint, action string, category string, outcome string"
+    )
+    allowed_set = frozenset(allowed)
+    return ordered.mapInPandas(lambda it: _fold_interests(it, allowed_set, states_only), schema)
+
+
 def apply_interest_changes(
     interests: DataFrame,
     log: DataFrame,
     users: DataFrame,
     allowed: Sequence[str] = VALID_CATEGORIES,
+    chunk_rows: int = 1 << 20,
 ) -> DataFrame:
-    """The outcome of every logged interest change, in order per user.
+    """The outcome of every logged interest change.
 
     An ``add`` must be new and allowed; a ``delete`` needs at least three current
-    interests and the category among them. Whether a delete passes depends on all
-    earlier outcomes, so each user's log is read in order; it streams through the task
-    batch by batch with one user's set of categories as the only state.
-    """
-    order = {"username": "username", "stage": "stage", "timestamp": "timestamp", "seq": "seq"}
-    none = F.lit(None)
-
-    def rows(df: DataFrame, stage: int, **columns: Column) -> DataFrame:
-        return df.select(
-            "username",
-            F.lit(stage).alias("stage"),
-            columns.get("timestamp", none).cast("bigint").alias("timestamp"),
-            columns.get("seq", none).cast("bigint").alias("seq"),
-            columns.get("action", none).cast("string").alias("action"),
-            columns.get("category", none).cast("string").alias("category"),
-        )
+    interests and the category among them. Outcomes depend on all earlier ones of the
+    user, so each log is read in order, streaming through a task batch by batch.
 
-    known = rows(users.select("username").distinct(), 0)
-    held = rows(interests.select("username", "category").distinct(), 1, category=F.col("category"))
-    asked = rows(
-        log,
-        2,
-        timestamp=F.col("timestamp"),
-        seq=F.col("seq"),
-        action=F.col("action"),
-        category=F.upper("category"),
+    The log of a user with more than ``chunk_rows`` changes is cut into chunks of time
+    that run side by side. Each first starts from the user's stored set; then every
+    chunk whose start differs from the end of the one before runs again, until none
+    does. That end is exact: the first chunk starts right, and so then does the next.
+    """
+    held = interests.groupBy("username").agg(F.array_sort(F.collect_set("category")).alias("held"))
+    base = users.select("username").distinct().join(held, "username", "left").select(
+        "username", F.coalesce("held", F.array().cast("array<string>")).alias("held")
     )
-    allowed_set = frozenset(allowed)
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        user, exists, current = None, False, set()
-        for batch in batches:
-            outcomes = []
-            for name, stage, action, category in zip(
-                batch["username"], batch["stage"], batch["action"], batch["category"]
-            ):
-                if name != user:
-                    user, exists, current = name, False, set()
-                outcome = None
-                if stage == 0:
-                    exists = True
-                elif stage == 1:
-                    current.add(category)
-                elif not exists:
-                    outcome = "unknown_user"
-                elif action == "add":
-                    if category in current:
-                        outcome = "already_interested"
-                    elif category not in allowed_set:
-                        outcome = "invalid_category"
-                    else:
-                        current.add(category)
-                        outcome = "accepted"
-                elif len(current) < MIN_INTERESTS_TO_DELETE:
-                    outcome = "too_few"
-                elif category not in current:
-                    outcome = "not_interested"
-                else:
-                    current.remove(category)
-                    outcome = "accepted"
-                outcomes.append(outcome)
-            yield batch.assign(outcome=outcomes)[batch["stage"] == 2].drop(columns="stage")
-
-    stream = (
-        known.unionByName(held)
-        .unionByName(asked)
-        .repartition("username")
-        .sortWithinPartitions(*order)
+    changes = log.select("username", "timestamp", "seq", "action", F.upper("category").alias("category"))
+    span = changes.groupBy("username").agg(
+        F.count("*").alias("n"), F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")
     )
-    return stream.mapInPandas(
-        fold,
-        "username string, timestamp bigint, seq bigint, action string, category string, outcome string",
+    long_logs = span.where(F.col("n") > chunk_rows)
+    whole = F.lit(0).cast("bigint")
+    if long_logs.isEmpty():
+        return _run_fold(base.withColumn("chunk", whole), changes.withColumn("chunk", whole), allowed, False)
+
+    scratch = Scratch(log.sparkSession, "interests")
+    width = F.ceil((F.col("hi") - F.col("lo") + 1) * chunk_rows / F.col("n"))
+    piece = F.floor((F.col("timestamp") - F.col("lo")) / width)
+    chunked = scratch.save(
+        changes.join(long_logs, "username", "left")
+        .withColumn("chunk", F.coalesce(piece, whole))
+        .drop("n", "lo", "hi"),
+        "changes",
     )
+    keys = ["username", "chunk"]
+    starts = scratch.save(chunked.select(*keys).distinct().join(base, "username"), "starts_0")
+    ends = scratch.save(_run_fold(starts, chunked, allowed, True), "ends_0")
+    turn = 0
+    while True:
+        turn += 1
+        carried = F.lag("held").over(Window.partitionBy("username").orderBy("chunk"))
+        follow = ends.select(*keys, carried.alias("carried"))
+        due = starts.join(follow, keys).where("carried is not null and carried <> held")
+        due = scratch.save(due.select(*keys, F.col("carried").alias("held")), f"due_{turn}")
+        if due.isEmpty():
+            return _run_fold(starts, chunked, allowed, False)
+        again = _run_fold(due, chunked.join(due.select(*keys), keys, "left_semi"), allowed, True)
+        ends = scratch.save(ends.join(due.select(*keys), keys, "left_anti").unionByName(again), f"ends_{turn}")
+        starts = scratch.save(starts.join(due.select(*keys), keys, "left_anti").unionByName(due), f"starts_{turn}")
 
 
 def interest_status_posts(outcomes: DataFrame) -> DataFrame:

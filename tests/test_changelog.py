@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from rookery.functions.scalar import display_time
@@ -53,20 +54,23 @@ def fold(current, log, allowed):
     return outcomes
 
 
-def test_interest_rules_equal_a_plain_fold(spark):
+@pytest.mark.parametrize("chunk_rows", [1000, 40, 3])
+def test_interest_rules_equal_a_plain_fold(spark, chunk_rows):
     rng = random.Random(7)
     allowed = ["A", "B", "C", "D"]
     start = {u: {c for c in allowed if rng.random() < 0.5} for u in ("u", "v", "w")}
     log = [
         (rng.choice(["u", "v", "w", "ghost"]), rng.choice(["add", "delete"]), rng.choice(["a", "b", "C", "d", "zzz"]), t, t)
-        for t in range(300)
+        for t in range(150)
     ]
     got = changelog.apply_interest_changes(
         spark.createDataFrame([(u, c) for u, s in start.items() for c in s], "username string, category string"),
         spark.createDataFrame(log, "username string, action string, category string, timestamp bigint, seq bigint"),
         spark.createDataFrame([(u,) for u in start], "username string"),
         allowed,
+        chunk_rows,
     ).collect()
+    assert len(got) == len(log)
     by_user = {}
     for r in sorted(got, key=lambda r: r.seq):
         by_user.setdefault(r.username, []).append(r.outcome)
