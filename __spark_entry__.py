@@ -30,6 +30,7 @@ FLAGSHIP_DIR = "/root/testdata/sf0.001"
 AS_OF_MS = 1705276800000  # midnight of AS_OF, UTC
 
 _runs: dict[tuple, Adsorption] = {}
+_stored_scores: dict[tuple, DataFrame] = {}
 
 
 def _propagated(t: SampleTables, rounds: int, tol: float | None = None, source_filter: bool = True) -> Adsorption:
@@ -66,7 +67,12 @@ def _labels(t: SampleTables, rounds: int) -> DataFrame:
 
 
 def _scores(t: SampleTables) -> DataFrame:
-    return ranking.score_articles(_propagated(t, 3).labels, _filtered(t), AS_OF)
+    """The stored score table, as page reads see it."""
+    key = (t.spark.sparkContext.applicationId, t.folder)
+    if key not in _stored_scores:
+        scores = ranking.score_articles(_propagated(t, 3).labels, _filtered(t), AS_OF)
+        _stored_scores[key] = Scratch(t.spark, "scores").save(scores, "scores")
+    return _stored_scores[key]
 
 
 def _unfiltered_scores(t: SampleTables) -> DataFrame:

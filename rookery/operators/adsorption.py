@@ -284,12 +284,18 @@ def _decode(graph: _Graph, labels: DataFrame, nodes: DataFrame) -> DataFrame:
     )
     members = graph.names.join(
         graph.twins.withColumnRenamed("node", "id"), "id", "left"
-    ).select(F.coalesce("stand_in", "id").alias("node"), "node_type", F.col("name").alias("node_name"))
+    ).select(F.coalesce("stand_in", "id").alias("node"), F.col("name").alias("node_name"))
     labelled = graph.names.select(F.col("id").alias("label"), F.col("name").alias("label_name"))
+    # the type comes from the id, so a filter on it reaches the scan of the labels
+    kind = F.col("node_kind")
+    node_type = F.when(kind == 0, "user").when(kind == 1, "category").otherwise("article")
     return (
-        weighed.join(members, "node")
+        weighed.withColumn("node_kind", _kind("node"))
+        .join(members, "node")
         .join(labelled, "label")
-        .select("node_type", F.col("node_name").alias("node"), F.col("label_name").alias("label"), "weight")
+        .select(
+            node_type.alias("node_type"), F.col("node_name").alias("node"), F.col("label_name").alias("label"), "weight"
+        )
     )
 
 

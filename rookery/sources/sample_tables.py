@@ -299,7 +299,8 @@ class SampleTables:
 
     @cached_property
     def stopwords(self) -> DataFrame:
-        return self.spark.createDataFrame([(w,) for w in STOP_WORDS], "word string")
+        words = F.array(*[F.lit(w) for w in STOP_WORDS])
+        return self.spark.range(1).select(F.explode(words).alias("word"))
 
     @cached_property
     def messages(self) -> DataFrame:
