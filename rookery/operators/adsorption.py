@@ -35,11 +35,15 @@ MAX_HOT = 4096
 
 @dataclass
 class Adsorption:
-    """Final labels ``(node_type, node, label, weight)`` and how the run ended."""
+    """Final labels ``(node_type, node, label, weight)`` and how the run ended.
+
+    The labels are read from ``scratch``; closing it ends them.
+    """
 
     labels: DataFrame
     rounds: int
     converged: bool
+    scratch: Scratch
 
 
 def _kind(id_column: str) -> Column:
@@ -271,7 +275,7 @@ def run_adsorption(
         if rounds > 1:
             scratch.drop(f"labels_{rounds - 1}")
 
-    return Adsorption(_decode(graph, labels, nodes), rounds, converged)
+    return Adsorption(_decode(graph, labels, nodes), rounds, converged, scratch)
 
 
 def _decode(graph: _Graph, labels: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -32,6 +32,7 @@ class Refresh:
     seen: DataFrame
     rounds: int
     converged: bool
+    scratch: Scratch
 
 
 def refresh(
@@ -51,16 +52,19 @@ def refresh(
     articles = published_by(tables.articles, as_of) if source_filter else tables.articles
     edges = social_graph(tables.users, tables.interests, tables.likes, tables.friends, articles)
     run = run_adsorption(edges, tables.users, max_iter, tol)
-    scores = Scratch(edges.sparkSession, "refresh").save(
-        score_articles(run.labels, articles, as_of, min_weight), "scores"
-    )
-    recs = recommend(scores, tables.seen, as_of, seed)
-    return Refresh(scores, recs, update_seen(tables.seen, recs), run.rounds, run.converged)
+    # written before anything is stored, since the seen table is read here and replaced then
+    scratch = Scratch(edges.sparkSession, "refresh")
+    scores = scratch.save(score_articles(run.labels, articles, as_of, min_weight), "scores")
+    run.scratch.close()
+    recs = scratch.save(recommend(scores, tables.seen, as_of, seed), "recommendations")
+    seen = scratch.save(update_seen(tables.seen, recs), "seen")
+    return Refresh(scores, recs, seen, run.rounds, run.converged, scratch)
 
 
 def store_refresh(result: Refresh, folder: str) -> None:
-    """Replace the score and recommendation tables, both keyed by (username, link)."""
+    """Replace the score, recommendation and seen tables, and drop the run's own copies."""
     key = ["username", "link"]
     write_snapshot(result.scores, f"{folder}/scores", key, cluster_by=key)
     write_snapshot(result.recommendations, f"{folder}/recommendations", key, cluster_by=key)
     result.seen.write.mode("overwrite").parquet(f"{folder}/seen")
+    result.scratch.close()

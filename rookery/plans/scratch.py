@@ -43,6 +43,12 @@ class Scratch:
 
     def drop(self, label: str) -> None:
         """Remove a table that no later plan reads."""
-        jvm = self._spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.path(label))
+        self._delete(self.path(label))
+
+    def close(self) -> None:
+        """Remove the whole folder; frames read from it end here."""
+        self._delete(self._folder)
+
+    def _delete(self, folder: str) -> None:
+        path = self._spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(path, True)

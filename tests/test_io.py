@@ -7,6 +7,7 @@ from rookery.operators.ranking import recommend, score_articles, update_seen
 from rookery.plans.recommend import SocialTables, refresh, store_refresh
 from rookery.sources import articles as corpus, sinks, tables
 from rookery.streaming import tables as streams
+from rookery.streaming.refresh import refresh_on_changes
 
 CORPUS = [
     dict(category="CRIME", headline="One", authors="Ann", link="l1", short_description="d1", date="2017-11-30"),
@@ -114,9 +115,8 @@ def test_scores_and_recommendations(spark, rows):
     assert rows(update_seen(seen, recs)) == [("u", "l1"), ("u", "l2"), ("v", "l1")]
 
 
-def test_refresh_stores_its_tables(spark, tmp_path, rows):
-    day = date(2024, 1, 15)
-    social = SocialTables(
+def small_network(spark, day):
+    return SocialTables(
         users=spark.createDataFrame([("u",), ("v",)], "username string"),
         interests=spark.createDataFrame([("u", "A")], "username string, category string"),
         likes=spark.createDataFrame([("u", "l1"), ("v", "l1")], "username string, link string"),
@@ -126,12 +126,35 @@ def test_refresh_stores_its_tables(spark, tmp_path, rows):
             [("me", "A", day, "h", "l1", "d")], "author string, category string, date date, headline string, link string, description string"
         ),
     )
-    result = refresh(social, day, max_iter=3)
-    store_refresh(result, str(tmp_path))
-    stored = spark.read.parquet(str(tmp_path / "scores"))
+
+
+def check_stored(spark, folder, rows):
+    stored = spark.read.parquet(f"{folder}/scores")
     assert {r.username for r in stored.collect()} == {"u", "v"}
-    assert {r.username for r in spark.read.parquet(str(tmp_path / "recommendations")).collect()} <= {"u"}
-    assert ("v", "l1") in rows(spark.read.parquet(str(tmp_path / "seen")), "username", "link")
+    assert {r.username for r in spark.read.parquet(f"{folder}/recommendations").collect()} <= {"u"}
+    assert ("v", "l1") in rows(spark.read.parquet(f"{folder}/seen"), "username", "link")
+
+
+def test_refresh_stores_its_tables(spark, tmp_path, rows):
+    day = date(2024, 1, 15)
+    network, folder = small_network(spark, day), str(tmp_path)
+    store_refresh(refresh(network, day, max_iter=2), folder)
+    check_stored(spark, folder, rows)
+    # the next refresh reads the seen table that it replaces
+    network.seen = spark.read.parquet(f"{folder}/seen")
+    store_refresh(refresh(network, day, max_iter=2), folder)
+    check_stored(spark, folder, rows)
+
+
+def test_interest_changes_start_a_refresh(spark, tmp_path, rows):
+    day = date(2024, 1, 15)
+    source, out, offsets = (str(tmp_path / n) for n in ("changes", "out", "offsets"))
+    changed = spark.createDataFrame([("u", "A")], "username string, category string")
+    changed.coalesce(1).write.parquet(source)
+    stream = streams.file_stream(spark, source, changed.schema)
+    query = refresh_on_changes(stream, lambda: small_network(spark, day), lambda: day, out, offsets)
+    query.awaitTermination()
+    check_stored(spark, out, rows)
 
 
 def test_streams_take_files_as_they_arrive(spark, tmp_path, rows):
