@@ -108,10 +108,10 @@ def random_graph(seed):
     )
 
 
-@pytest.mark.parametrize("seed, fan_limit", [(1, 1 << 18), (3, 2)])
-def test_sparse_equals_dense(spark, seed, fan_limit):
+@pytest.mark.parametrize("seed, limits", [(1, {}), (2, {"small_graph": 0}), (3, {"small_graph": 0, "fan_limit": 2})])
+def test_sparse_equals_dense(spark, seed, limits):
     graph = random_graph(seed)
-    got, run, plain = propagate(spark, graph, max_iter=4, fan_limit=fan_limit)
+    got, run, plain = propagate(spark, graph, max_iter=4, **limits)
     want, rounds = dense_labels(plain, graph["users"], max_iter=4)
     assert run.rounds == rounds
     assert_same(got, want)
