@@ -26,6 +26,13 @@ from rookery.sources.sample_tables import (
 )
 from rookery.streaming import tables as streams
 
+try:  # the training-data operators are an optional part
+    from rookery.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if missing.name not in ("rookery.llm", "rookery.llm.queries", "corpus_pipeline"):
+        raise
+    llm_queries = None
+
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 AS_OF_MS = 1705276800000  # midnight of AS_OF, UTC
 
@@ -291,8 +298,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bound(build: Callable[[SampleTables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: build(SampleTables(spark, sf_dir))
 
-    return {name: bound(build) for name, build in QUERIES.items()}
+    registered = {name: bound(build) for name, build in QUERIES.items()}
+    return registered | (llm_queries.QUERIES if llm_queries else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.oracle_sql()
+    return oracle_queries.oracle_sql() | (llm_queries.ORACLE_SQL if llm_queries else {})

@@ -1,29 +1,18 @@
 """Written tables that cut the lineage of iterative plans.
 
 Tables go to the folder named by ``spark.checkpoint.dir``, which every executor
-can reach, so a lost executor costs a re-read and never a recomputation. Only a
-local session without that setting falls back to a temporary folder.
+can reach, so a lost executor costs a re-read and never a recomputation. A session
+without that setting uses a folder below its warehouse.
 """
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@cache
-def _local_folder(application_id: str) -> str:
-    return tempfile.mkdtemp(prefix="rookery-")
-
-
 def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return _local_folder(spark.sparkContext.applicationId)
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
 
 
 class Scratch:
