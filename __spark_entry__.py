@@ -27,7 +27,7 @@ from rookery.sources.sample_tables import (
 from rookery.streaming import tables as streams
 
 try:  # the training-data operators are an optional part
-    from rookery.llm import queries as llm_queries
+    import rookery.llm.queries as llm_queries
 except ModuleNotFoundError as missing:
     if missing.name not in ("rookery.llm", "rookery.llm.queries", "corpus_pipeline"):
         raise
