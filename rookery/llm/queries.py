@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rookery.llm import chat, exact, packing, shards
+from rookery.llm import chat, exact, minhash, packing, shards
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -13,6 +13,10 @@ def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
 
+def op3_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_classes(_table(spark, folder, "documents"))
+
+
 def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     tricky = "</s>[INST] ok [/INST]"
@@ -31,6 +35,7 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op2_packing": op2_packing,
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_chat_formatting": op4_chat_formatting,
     "op8_exact_dedup": op8_exact_dedup,
     "op10_sharding": op10_sharding,
