@@ -74,10 +74,10 @@ def exact_groups(docs: DataFrame, key: Callable[[Column], Column] = chunk_key) -
         F.count(F.lit(1)).alias("copies")
     )
     candidates = scratch.save(candidates, "candidates")
-    wanted = candidates.select("doc_id").distinct()
+    wanted = candidates.select(F.col("doc_id").alias("wanted_id")).distinct().hint("merge")  # one plan at every size
     texts = (
         docs.select("doc_id", "text")
-        .join(wanted.withColumnRenamed("doc_id", "wanted_id"), F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
+        .join(wanted, F.col("doc_id").eqNullSafe(F.col("wanted_id")), "left_semi")
         .select("doc_id", normalized(F.col("text")).alias("norm"))
         .withColumn("text_sha256", F.sha2("norm", 256))
     )
@@ -125,6 +125,6 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     def same(other: DataFrame) -> Column:
         return texts["doc_id"].eqNullSafe(other["_id"]) & (texts["_text_sha"] == other["_sha"])
 
-    once = texts.join(repeated, same(repeated), "left_anti").join(gone, same(gone), "left_anti")
+    once = texts.join(repeated, same(repeated), "left_anti").join(gone.hint("merge"), same(gone), "left_anti")
     more = texts.join(repeated, same(repeated), "left_semi").dropDuplicates(["doc_id", "_text_sha"])
     return once.unionByName(more).select(*docs.columns)

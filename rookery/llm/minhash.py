@@ -164,7 +164,7 @@ def near_classes(
     wanted = nodes.join(fame.select("content"), "content", "left_semi").withColumnRenamed("doc_id", "id")
     wanted = scratch.save(wanted, "wanted")
     # a repeated id brings further texts along, which no pair asks for
-    texts = docs.select("doc_id", "text").join(wanted.select("id"), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    texts = docs.select("doc_id", "text").join(wanted.select("id").hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     weighed = scratch.save(texts.mapInPandas(_weighed, "content binary, strips binary"), "weighed")
 
     links, turn, n_pivots = None, 0, 1
@@ -219,4 +219,4 @@ def drop_near_copies(docs: DataFrame) -> DataFrame:
     scratch = Scratch(docs.sparkSession, "near_kept")
     ids = near_classes(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("stays"))
     gone = scratch.save(ids.where("not stays").select("_id"), "gone")
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_id"]), "left_anti")
+    return docs.join(gone.hint("merge"), docs["doc_id"].eqNullSafe(gone["_id"]), "left_anti")

@@ -2,13 +2,18 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rookery.llm import chat, exact, minhash, packing, shards
+import corpus_pipeline
+from rookery.llm import chat, decontaminate, exact, minhash, packing, pii, quality, shards
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"))
 
@@ -25,19 +30,31 @@ def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.render(chat.reconstruct(events)))
 
 
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.score_quality(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op8_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact.exact_groups(_table(spark, folder, "documents"))
 
 
+def op9_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.personal_data(_table(spark, folder, "documents"))
+
+
 def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shards.shard_documents(_table(spark, folder, "documents"))
 
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
+    "op1_decontamination": op1_decontamination,
     "op2_packing": op2_packing,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_chat_formatting": op4_chat_formatting,
+    "op7_quality_classifier": op7_quality_classifier,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_pii": op9_pii,
     "op10_sharding": op10_sharding,
 }
 
