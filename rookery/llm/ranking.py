@@ -6,7 +6,7 @@ its rank in its bucket plus the sizes of the buckets before it.
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-PER_BUCKET = 1024
+PER_BUCKET = 256
 
 
 def positions(rows: DataFrame, group: str, bucket: str, order: list[str]) -> DataFrame:

@@ -100,7 +100,7 @@ def assign(rows: DataFrame, groups: str, n_shards: int = N_SHARDS, rounds: int =
     final = scratch.save(moved.select("node", F.col("label").alias("moved")), "final")
     parts = max(1, -(-total // (n_shards * PER_BUCKET)))
     # linked rows come first, so that a surplus is cut from rows without links
-    part = F.pmod("node", F.lit(parts * 7919)) % parts + F.when(F.col("moved").isNull(), parts).otherwise(0)
+    part = F.pmod(F.xxhash64("node"), F.lit(parts)) + F.when(F.col("moved").isNull(), parts).otherwise(0)
     placed = keyed.join(final, "node", "left")
     placed = placed.withColumn("part", part).withColumn("label", F.coalesce("moved", "label")).drop("moved")
     others = [c for c in rows.columns if c != "doc_id"]
