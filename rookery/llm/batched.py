@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from rookery.plans.scratch import Scratch
 
-BATCH_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
+BATCH_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20
 NO_ID = np.iinfo(np.int64).max  # stands for a null id, after every other one
 
 

@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from rookery.llm import chat, decontaminate, exact, minhash, packing, pii, quality, repeats, shards
+from rookery.llm import chat, decontaminate, exact, lm, minhash, packing, pii, quality, repeats, shards
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -30,6 +30,10 @@ def op4_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     return chat.read_back(chat.render(chat.reconstruct(events)))
 
 
+def op5_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score_documents(_table(spark, folder, "documents"))
+
+
 def op6_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(_table(spark, folder, "documents"), keep_text=False).drop("kept")
 
@@ -56,6 +60,7 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_chat_formatting": op4_chat_formatting,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_repeated_strings": op6_repeated_strings,
     "op7_quality_classifier": op7_quality_classifier,
     "op8_exact_dedup": op8_exact_dedup,

@@ -25,6 +25,20 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def run_hashes(data: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes, starts and ends of the maximal runs of bytes that are ``inside``."""
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).view(np.int8)))
+    starts, ends = edge[0::2], edge[1::2]
+    if not len(starts):
+        return np.empty(0, np.uint64), starts, ends
+    lengths = ends - starts
+    at = np.flatnonzero(inside)
+    first = np.cumsum(lengths) - lengths
+    offset = np.arange(len(at)) - np.repeat(first, lengths)
+    values = _BYTE[data[at]] * _STEP[offset & 4095]
+    return mix(np.add.reduceat(values, first) + lengths.astype(np.uint64) * GOLD), starts, ends
+
+
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words, and where each text's words start (one more entry than texts)."""
     parts = [t.lower().encode("utf-8", "replace") for t in texts]
@@ -33,19 +47,7 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     data = np.frombuffer(b"\n".join(parts) + b"\n", np.uint8)
     if not parts:
         return np.empty(0, np.uint64), np.zeros(1, np.int64)
-    inside = _WORD[data]
-    edge = np.flatnonzero(inside[1:] != inside[:-1]) + 1
-    if inside[0]:
-        edge = np.concatenate([[0], edge])
-    starts, ends = edge[0::2], edge[1::2]  # the last byte is a separator, so edges pair up
-    if not len(starts):
-        return np.empty(0, np.uint64), np.zeros(len(parts) + 1, np.int64)
-    lengths = ends - starts
-    at = np.flatnonzero(inside)
-    first = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    offset = np.arange(len(at)) - np.repeat(first, lengths)
-    values = _BYTE[data[at]] * _STEP[offset & 4095]
-    hashes = mix(np.add.reduceat(values, first) + lengths.astype(np.uint64) * GOLD)
+    hashes, starts, _ = run_hashes(data, _WORD[data])
     return hashes, np.searchsorted(starts, starts_of_texts)
 
 
