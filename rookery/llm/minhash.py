@@ -26,6 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType
 
 from rookery.llm.components import components
 from rookery.llm.words import GOLD, batches, mix, shingle_hashes, word_hashes
@@ -119,7 +120,7 @@ def _weighed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield pd.DataFrame({"content": _contents(words, bounds), "strips": blobs})
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _similarity(left: pd.Series, right: pd.Series) -> pd.Series:
     def one(a, b):
         x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
