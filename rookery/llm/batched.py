@@ -77,6 +77,8 @@ def expand(blob: bytes, dtype) -> np.ndarray:
 def by_bucket(buckets: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
     """The rows of each bucket, from arrays of equal length."""
     order = np.argsort(buckets, kind="stable")
-    at = np.flatnonzero(np.concatenate([[True], np.diff(buckets[order]) != 0])) if len(order) else []
+    if not len(order):
+        return
+    at = np.flatnonzero(np.concatenate([[True], np.diff(buckets[order]) != 0]))
     for a, b in zip(at, [*at[1:], len(order)], strict=True):
         yield int(buckets[order[a]]), [c[order[a:b]] for c in columns]

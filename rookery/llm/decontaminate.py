@@ -29,6 +29,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BooleanType
 
 from rookery.llm.words import batches, shingle_hashes, word_hashes
 from rookery.plans.scratch import Scratch
@@ -253,6 +254,17 @@ def contaminated(
     )
 
 
+def _leaks(shared, threshold: float, similarity: float):
+    @F.pandas_udf(BooleanType())
+    def run(texts: pd.Series) -> pd.Series:
+        flags = np.zeros(len(texts), bool)
+        for rows, part in batches(texts, range(len(texts))):
+            flags[[rows[t] for t, *_ in find_matches(shared.value, part, threshold, similarity)]] = True
+        return pd.Series(flags)
+
+    return run
+
+
 def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, threshold: float = RETRIEVE, similarity: float = SIMILARITY,
     shard_bytes: int = SHARD_BYTES,
@@ -262,12 +274,5 @@ def drop_contaminated(
     for index in indexes(benchmark, shard_bytes):
         shared = context.broadcast(index)
 
-        @F.pandas_udf("boolean")
-        def leaks(texts: pd.Series, shared=shared) -> pd.Series:
-            flags = np.zeros(len(texts), bool)
-            for rows, part in batches(texts, range(len(texts))):
-                flags[[rows[t] for t, *_ in find_matches(shared.value, part, threshold, similarity)]] = True
-            return pd.Series(flags)
-
-        docs = docs.where(~leaks(F.coalesce(docs["text"], F.lit(""))))
+        docs = docs.where(~_leaks(shared, threshold, similarity)(F.coalesce(docs["text"], F.lit(""))))
     return docs

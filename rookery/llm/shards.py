@@ -3,7 +3,8 @@
 Documents that share a group (here: equal texts) should meet in one shard. Labels start
 as a hash; in each round every group proposes its commonest label, a document takes the
 proposal with the most members, and moves are admitted by quotas: what two shards swap
-is always admitted, what remains only into the room below a shard's limit. Groups stand
+is always admitted, what remains only while a shard's linked rows stay below its quota of
+rows (rows without links fill what is left). Groups stand
 for their links, so no pair of documents is ever a row. At the end the surplus of every
 shard, documents without links first, fills the gaps, so that row counts differ by at
 most one. Everything is built-in expressions; what reaches the driver or is broadcast
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from rookery.llm.ranking import PER_BUCKET, positions
 from rookery.plans.scratch import Scratch
 
-N_SHARDS, ROUNDS, SLACK, SEED = 16, 4, 0.03, 7
+N_SHARDS, ROUNDS, SEED = 16, 5, 7
 
 
 def _unit(*columns: Column | str) -> Column:
@@ -28,19 +29,19 @@ def _unit(*columns: Column | str) -> Column:
 
 
 def propagate(
-    scratch: Scratch, start: DataFrame, members: DataFrame, loads: dict[int, int], n_shards: int, rounds: int
+    scratch: Scratch, start: DataFrame, members: DataFrame, limit: float, rounds: int
 ) -> DataFrame:
     """(node, label) of linked nodes after some rounds.
 
-    ``start`` has (node, label, rows) of linked nodes, ``members`` (node, grp), ``loads``
-    the rows of each shard, linked or not.
+    ``start`` has (node, label, rows) of linked nodes, ``members`` (node, grp); no label
+    should get more than ``limit`` rows.
     """
-    limit = sum(loads.values()) / n_shards * (1 + SLACK)
     labels = start
+    loads = {r["label"]: r["rows"] for r in start.groupBy("label").agg(F.sum("rows").alias("rows")).collect()}
     for turn in range(rounds):
         placed = scratch.save(members.join(labels.select("node", "label"), "node"), f"placed_{turn}")
         votes = placed.groupBy("grp", "label").count()
-        commonest = Window.partitionBy("grp").orderBy(F.desc("count"), "label")  # at most n_shards rows a group
+        commonest = Window.partitionBy("grp").orderBy(F.desc("count"), F.xxhash64("grp", "label"))  # n_shards rows a group
         plural = votes.withColumn("nth", F.row_number().over(commonest)).where("nth = 1")
         plural = scratch.save(plural.select("grp", F.col("label").alias("proposal"), "count"), f"plural_{turn}")
         wishes = placed.join(plural, "grp").groupBy("node", "proposal").agg(F.sum("count").alias("weight"))
@@ -63,7 +64,7 @@ def propagate(
         )
         for r in labels.where("label != left").groupBy("left", "label").agg(F.sum("rows").alias("rows")).collect():
             loads[r["left"]] -= r["rows"]
-            loads[r["label"]] += r["rows"]
+            loads[r["label"]] = loads.get(r["label"], 0) + r["rows"]
         labels = labels.drop("left")
     return labels
 
@@ -93,10 +94,8 @@ def assign(rows: DataFrame, groups: str, n_shards: int = N_SHARDS, rounds: int =
         F.min("label").alias("label"), F.count(F.lit(1)).alias("rows")
     )
     start = scratch.save(start, "start")
-    loads = dict.fromkeys(range(n_shards), 0)
-    loads |= {r["label"]: r["count"] for r in keyed.groupBy("label").count().collect()}
-    total = sum(loads.values())
-    moved = propagate(scratch, start, members, loads, n_shards, rounds)
+    total = keyed.count()
+    moved = propagate(scratch, start, members, total / n_shards, rounds)
     final = scratch.save(moved.select("node", F.col("label").alias("moved")), "final")
     parts = max(1, -(-total // (n_shards * PER_BUCKET)))
     # linked rows come first, so that a surplus is cut from rows without links
