@@ -22,6 +22,7 @@ their own text; an empty table gives an empty result; further columns are ignore
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -152,57 +153,52 @@ def near_classes(
     sketch = docs.select("doc_id", "text").mapInPandas(_sketch(bands, rows), SKETCH)
     sketch = scratch.save(sketch, "sketch")
     known = sketch.where("content is not null")
-    nodes = known.groupBy("content").agg(F.min("doc_id").alias("doc_id"))
-    nodes = scratch.save(nodes, "nodes")
     # equal texts have equal bands, so one row of each text is enough
-    banded = known.select("content", "doc_id", F.explode("bands").alias("key"))
-    banded = banded.groupBy("key", "content").agg(F.lit(1)).select("key", "content")
-    banded = scratch.save(banded, "banded")
-    sizes = scratch.save(banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "sizes")
-    members = scratch.save(banded.join(sizes, "key"), "members")
-    fame = scratch.save(members.groupBy("content").agg(F.sum("n").alias("fame")), "fame")
+    nodes = known.groupBy("content").agg(F.min("doc_id").alias("id"), F.any_value("bands").alias("bands"))
+    nodes = scratch.save(nodes, "nodes")
+    banded = nodes.select("content", F.explode("bands").alias("key"))
+    sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = scratch.save(banded.join(scratch.save(sizes, "sizes"), "key"), "members")
+    fame = members.groupBy("content").agg(F.sum("n").alias("fame"))
     members = scratch.save(members.drop("n").join(fame, "content"), "famed")
-    wanted = nodes.join(fame.select("content"), "content", "left_semi").withColumnRenamed("doc_id", "id")
-    wanted = scratch.save(wanted, "wanted")
+    wanted = nodes.join(members.select("content").distinct(), "content", "left_semi").select("id").distinct()
     # a repeated id brings further texts along, which no pair asks for
-    texts = docs.select("doc_id", "text").join(wanted.select("id").hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    texts = docs.select("doc_id", "text").join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     weighed = scratch.save(texts.mapInPandas(_weighed, "content binary, strips binary"), "weighed")
 
-    links, turn, n_pivots = None, 0, 1
+    links, unions, turn = [], [], 0
     members = members.withColumn("root", F.col("content"))
     while True:
         if turn == 0:
-            pivots = members.groupBy("key").agg(F.max(F.struct("fame", "content")).alias("p"))
-            pivots = pivots.select("key", F.col("p.content").alias("pivot"))
+            pivots = members.groupBy("key").agg(F.max(F.struct("fame", "content", "root")).alias("p"))
+            pivots = pivots.select("key", F.col("p.content").alias("pivot"), F.col("p.root").alias("pivot_root"))
         else:
             famous = Window.partitionBy("key").orderBy(F.desc("fame"), F.desc("content"))
-            pivots = members.withColumn("nth", F.row_number().over(famous)).where(F.col("nth") <= n_pivots)
-            pivots = pivots.select("key", F.col("content").alias("pivot"))
-        roots = members.select("key", F.col("content").alias("pivot"), F.col("root").alias("pivot_root"))
-        pivots = scratch.save(pivots.join(roots, ["key", "pivot"]), f"pivots_{turn}")
+            pivots = members.withColumn("nth", F.row_number().over(famous)).where(F.col("nth") <= 2**turn)
+            pivots = pivots.select("key", F.col("content").alias("pivot"), F.col("root").alias("pivot_root"))
+        pivots = scratch.save(pivots, f"pivots_{turn}")
         pairs = members.join(pivots, "key").where("root != pivot_root").select(
             F.greatest("content", "pivot").alias("a"), F.least("content", "pivot").alias("b")
         )
-        pairs = scratch.save(pairs.distinct(), f"pairs_{turn}")
-        found = scratch.save(_verified(pairs, weighed, similarity), f"links_{turn}")
-        links = found if links is None else links.unionByName(found)
-        roots = scratch.save(components(links, scratch, f"components_{turn}"), f"roots_{turn}")
+        found = scratch.save(_verified(pairs.distinct(), weighed, similarity), f"links_{turn}")
+        links.append(found)
+        unions.append(components(_at_roots(found, unions), scratch, f"components_{turn}"))
         # compared pivots leave; groups of one component are done
-        rest = members.drop("root").join(pivots.select("key", F.col("pivot").alias("content")), ["key", "content"], "left_anti")
-        rest = rest.join(roots.withColumnRenamed("node", "content"), "content", "left").withColumn("root", F.coalesce("root", "content"))
+        compared = pivots.select("key", F.col("pivot").alias("content"))
+        rest = _rooted(members.join(compared, ["key", "content"], "left_anti"), "root", unions[-1:])
         rest = scratch.save(rest, f"rest_{turn}")
-        active = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi").select("key")
-        active = scratch.save(active, f"active_{turn}")
-        members = scratch.save(rest.join(active, "key", "left_semi"), f"members_{turn}")
-        turn, n_pivots = turn + 1, n_pivots * 2
+        active = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
+        members = scratch.save(rest.join(active.select("key"), "key", "left_semi"), f"members_{turn}")
+        turn += 1
         if members.isEmpty():
             break
 
-    degree = links.select(F.explode(F.array("a", "b")).alias("content")).groupBy("content").agg(F.count(F.lit(1)).alias("n_links"))
-    placed = known.select("doc_id", "content").join(roots.withColumnRenamed("node", "content"), "content", "left")
-    placed = placed.join(scratch.save(degree, "degree"), "content", "left")
-    placed = placed.withColumn("root", F.coalesce("root", "content"))
-    placed = scratch.save(placed, "placed")
+    ends = reduce(DataFrame.unionByName, links).select(F.explode(F.array("a", "b")).alias("content"))
+    degree = ends.groupBy("content").agg(F.count(F.lit(1)).alias("n_links"))
+    linked = _rooted(degree.withColumn("root", F.col("content")), "root", unions)
+    linked = scratch.save(linked, "linked")
+    placed = known.select("doc_id", "content").join(linked, "content", "left")
+    placed = scratch.save(placed.withColumn("root", F.coalesce("root", "content")), "placed")
     classes = placed.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     classes = scratch.save(classes, "classes")
     named = placed.join(classes, "root").select("doc_id", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links"))
@@ -212,6 +208,18 @@ def near_classes(
     return named.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
 
+def _rooted(rows: DataFrame, column: str, unions: list[DataFrame]) -> DataFrame:
+    """``rows`` with the nodes in a column replaced by their roots after some turns."""
+    for union in unions:
+        named = union.select(F.col("node").alias(column), F.col("root").alias("_root"))
+        rows = rows.join(named, column, "left").withColumn(column, F.coalesce("_root", column)).drop("_root")
+    return rows
+
+
+def _at_roots(edges: DataFrame, unions: list[DataFrame]) -> DataFrame:
+    return _rooted(_rooted(edges, "a", unions), "b", unions)
+
+
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """One document of each class, with the columns it came with.
 
