@@ -14,7 +14,7 @@ import oracle_queries
 from rookery.functions.scalar import display_time
 from rookery.operators import changelog, chat, feeds, graph, people, ranking, search
 from rookery.operators.adsorption import Adsorption, initial_labels, run_adsorption
-from rookery.plans.recommend import refresh
+from rookery.plans.recommend import refresh, store_refresh
 from rookery.plans.scratch import Scratch
 from rookery.schemas import KEYWORD_INDEX
 from rookery.sources import articles as corpus, sinks, tables
@@ -36,16 +36,9 @@ except ModuleNotFoundError as missing:
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 AS_OF_MS = 1705276800000  # midnight of AS_OF, UTC
 
-_runs: dict[tuple, Adsorption] = {}
-_stored_scores: dict[tuple, DataFrame] = {}
-
 
 def _propagated(t: SampleTables, rounds: int, tol: float | None = None, source_filter: bool = True) -> Adsorption:
-    """The stored labels of one graph; the queries that read scores share them."""
-    key = (t.spark.sparkContext.applicationId, t.folder, rounds, tol, source_filter)
-    if key not in _runs:
-        _runs[key] = run_adsorption(_edges(t, source_filter), t.usernames, rounds, tol)
-    return _runs[key]
+    return run_adsorption(_edges(t, source_filter), t.usernames, rounds, tol)
 
 
 def _filtered(t: SampleTables) -> DataFrame:
@@ -69,22 +62,21 @@ def _dated(df: DataFrame) -> DataFrame:
     return df.withColumn("date", F.date_format("date", "yyyy-MM-dd"))
 
 
-def _labels(t: SampleTables, rounds: int) -> DataFrame:
-    return _rounded(_propagated(t, rounds).labels)
+def _labels(t: SampleTables, rounds: int, tol: float | None = None) -> DataFrame:
+    """Labels that count: a node's labels sum to 1, so at most 100 of each node."""
+    labels = _propagated(t, rounds, tol).labels
+    return _rounded(labels.where(F.col("weight") > ranking.MIN_WEIGHT))
 
 
 def _scores(t: SampleTables) -> DataFrame:
     """The stored score table, as page reads see it."""
-    key = (t.spark.sparkContext.applicationId, t.folder)
-    if key not in _stored_scores:
-        scores = ranking.score_articles(_propagated(t, 3).labels, _filtered(t), AS_OF)
-        _stored_scores[key] = Scratch(t.spark, "scores").save(scores, "scores")
-    return _stored_scores[key]
+    scores = ranking.score_articles(_propagated(t, 3).labels, _filtered(t), AS_OF)
+    return Scratch(t.spark, "scores").save(scores, "scores")
 
 
 def _unfiltered_scores(t: SampleTables) -> DataFrame:
     labels = _propagated(t, 2, source_filter=False).labels
-    return ranking.score_articles(labels, t.articles, AS_OF, 0.0)
+    return ranking.score_articles(labels, t.articles, AS_OF)
 
 
 def _recs(t: SampleTables) -> DataFrame:
@@ -117,7 +109,7 @@ def _article_scan(t: SampleTables) -> DataFrame:
 
 def _seen_snapshot(t: SampleTables) -> DataFrame:
     path = Scratch(t.spark, "snapshot").path("seen")
-    sinks.write_snapshot(t.seen, path, ["link"])
+    sinks.write_snapshot(t.seen, path, ["username", "link"])
     return t.spark.read.schema(t.seen.schema).parquet(path)
 
 
@@ -183,6 +175,35 @@ def _stream_deliveries(t: SampleTables) -> DataFrame:
     return streams.run_appends(streams.stream_deliveries(arriving, t.membership))
 
 
+def _users_scan(t: SampleTables) -> DataFrame:
+    path = Scratch(t.spark, "accounts").path("users")
+    t.users.write.parquet(path)
+    return tables.read_users(t.spark, path).select(
+        "username", "firstname", "lastname", "affiliation", "birthday", "loggedin", _joined("interests")
+    )
+
+
+def _friends_scan(t: SampleTables) -> DataFrame:
+    path = Scratch(t.spark, "accounts").path("friends")
+    t.friends.select("username1", F.col("timestamp").cast("string").alias("timestamp"), "username2").write.parquet(path)
+    return tables.read_friends(t.spark, path).select("username1", F.col("timestamp").cast("bigint").alias("timestamp"), "username2")
+
+
+def _stopword_scan(t: SampleTables) -> DataFrame:
+    """Names of places as a stop-word file, one a line."""
+    path = Scratch(t.spark, "words").path("stopwords")
+    names = [t.source(n).select(F.lower(f"{n[0]}_name").alias("value")) for n in ("region", "nation")]
+    names[0].unionByName(names[1]).write.text(path)
+    return corpus.read_stopwords(t.spark, path)
+
+
+def _stored_refresh(t: SampleTables, table: str) -> DataFrame:
+    """A table that the refresh has stored, read back."""
+    folder = Scratch(t.spark, "refreshed").path("tables")
+    store_refresh(refresh(t.social, AS_OF), folder)
+    return _dated(_rounded(t.spark.read.parquet(f"{folder}/{table}")))
+
+
 def _scheduled_refresh(t: SampleTables) -> DataFrame:
     return _dated(_rounded(refresh(t.social, AS_OF).recommendations))
 
@@ -205,6 +226,11 @@ def _joined(values: str) -> Column:
 QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     # sources and sinks
     "article_scan": _article_scan,
+    "users_scan": _users_scan,
+    "friends_scan": _friends_scan,
+    "stopword_scan": _stopword_scan,
+    "stored_scores": lambda t: _stored_refresh(t, "scores"),
+    "stored_recommendations": lambda t: _stored_refresh(t, "recommendations"),
     "article_catalog": _catalog,
     "user_lookup": lambda t: tables.lookup(
         t.users, "username", t.friends.select(F.col("username2").alias("username"))
@@ -225,7 +251,7 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "initial_labels": lambda t: initial_labels(t.usernames),
     "adsorption_2": lambda t: _labels(t, 2),
     "adsorption_3": lambda t: _labels(t, 3),
-    "adsorption_converged": lambda t: _rounded(_propagated(t, 15, 0.05).labels),
+    "adsorption_converged": lambda t: _labels(t, 15, 0.05),
     "article_scores": lambda t: _dated(_rounded(_scores(t))),
     "article_scores_unfiltered": lambda t: _dated(_rounded(_unfiltered_scores(t))),
     "recommendations": lambda t: _dated(_rounded(_recs(t))),
@@ -289,6 +315,9 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "stream_presence": lambda t: streams.run_upserts(
         streams.stream_presence(t.presence_log_of(_event_stream(t))), ["username"]
     ),
+    "stream_friends": lambda t: streams.run_upserts(
+        streams.stream_friends(t.friend_log_of(_event_stream(t))), ["username1", "username2"]
+    ),
     "stream_posts": lambda t: streams.run_appends(streams.ingest_posts(t.statusposts_of(_event_stream(t)))),
     "stream_deliveries": _stream_deliveries,
 }

@@ -30,15 +30,15 @@ evx AS (
   FROM ev, sizes),
 all_articles AS (
   SELECT lang AS author, upper(source) AS category, DATE '2024-01-01' + CAST(doc_id % 30 AS INTEGER) AS date,
-         substr(text, 1, 80) AS headline, 'doc://' || doc_id AS link, substr(text, 1, 200) AS description
+         text AS headline, 'doc://' || doc_id AS link, text AS description
   FROM documents),
 articles AS (SELECT * FROM all_articles WHERE date <= DATE '{AS_OF}'),
-interests AS (SELECT DISTINCT username, 'SRC' || k AS category FROM ev WHERE t = 'signup' AND k < 20),
-likes AS (SELECT DISTINCT username, link FROM evx WHERE t = 'purchase' AND k < 50),
+interests AS (SELECT DISTINCT username, 'SRC' || (k % 20) AS category FROM ev WHERE t = 'signup'),
+likes AS (SELECT DISTINCT username, link FROM evx WHERE t = 'purchase'),
 seen AS (SELECT DISTINCT username, link FROM evx WHERE t = 'view'),
 friend_log AS (
   SELECT username AS a, friend AS b, CASE WHEN t = 'click' THEN 'add' ELSE 'remove' END AS action, ms, e
-  FROM evx WHERE t IN ('click', 'error') AND k < 50 AND username <> friend),
+  FROM evx WHERE t IN ('click', 'error') AND username <> friend),
 friend_both AS (
   SELECT a, b, action, ms, e FROM friend_log UNION ALL SELECT b, a, action, ms, e FROM friend_log),
 friends AS (SELECT a AS username1, b AS username2, max(ms) AS timestamp FROM friend_both WHERE action = 'add' GROUP BY a, b),
@@ -64,7 +64,7 @@ comments AS (
   FROM ev c JOIN ev p ON p.e = c.e - c.e % 10 AND p.t = 'signup' WHERE c.t = 'error'),
 visits AS (
   SELECT username AS viewer, username AS owner FROM users
-  UNION SELECT username1, username2 FROM friends
+  UNION SELECT poster, wall FROM posts
   UNION SELECT username, nextuser FROM evx),
 messages AS (SELECT conv_id AS room, turn, role AS sender, text AS content FROM conversations),
 membership AS (SELECT DISTINCT conv_id AS room, role AS member FROM conversations),
@@ -79,8 +79,8 @@ index_words AS (
     SELECT link, unnest(string_split(lower(regexp_replace(headline, '[[:punct:]]', '', 'g')), ' ')) AS w FROM all_articles)
   WHERE regexp_matches(w, '^\\p{{L}}+$') AND w NOT IN ({_strings(STOP_WORDS)})),
 queries AS (
-  SELECT u AS query_id, username, list_extract([{_strings(SEARCH_TEXTS)}], CAST(u % {len(SEARCH_TEXTS)} AS INTEGER) + 1) AS text
-  FROM (SELECT DISTINCT u, username FROM ev))
+  SELECT u AS query_id, username, list_extract([{_strings(SEARCH_TEXTS)}], CAST(u AS INTEGER) + 1) AS text
+  FROM (SELECT DISTINCT u, username FROM ev WHERE u < {len(SEARCH_TEXTS)}))
 """
 
 GRAPH = """
@@ -178,8 +178,7 @@ def _scores(last: int, articles: str = "articles", threshold: float = 0.01) -> s
     """The scores CTE over the labels of one round."""
     return f"""
 scores AS (
-  SELECT l.u AS username, l.n AS link, a.author, a.category, strftime(a.date, '%Y-%m-%d') AS date, a.headline,
-         a.description, l.w AS weight
+  SELECT l.u AS username, l.n AS link, a.author, a.category, strftime(a.date, '%Y-%m-%d') AS date, l.w AS weight
   FROM lab{last} l JOIN (
     SELECT link, min({{'headline': headline, 'category': category, 'author': author, 'date': date,
                      'description': description}}) AS a FROM {articles} WHERE date <= DATE '{AS_OF}' GROUP BY link) x
@@ -193,7 +192,7 @@ recs AS (
     AND NOT EXISTS (SELECT 1 FROM seen x WHERE x.username = s.username AND x.link = s.link)
     AND CAST('0x' || substr(md5(s.username || '|' || s.link || '|0'), 1, 8) AS BIGINT) / 4294967296.0::DOUBLE <= weight)"""
 
-SCORE_COLUMNS = "username, link, author, category, date, headline, description, round(weight, 6) AS weight"
+SCORE_COLUMNS = "username, link, author, category, date, round(weight, 6) AS weight"
 
 
 def _ranked(tail: str, *more: str, rounds: int = 3) -> str:
@@ -210,9 +209,9 @@ def _graph(tail: str) -> str:
 
 CHANGES = f"""
 asked AS (
-  SELECT username, CASE WHEN t = 'click' THEN 'add' ELSE 'delete' END AS action, 'SRC' || k AS category, ms, e,
+  SELECT username, CASE WHEN t = 'click' THEN 'add' ELSE 'delete' END AS action, 'SRC' || (k % 25) AS category, ms, e,
          row_number() OVER (PARTITION BY username ORDER BY ms, e) AS i
-  FROM ev WHERE t IN ('click', 'error') AND k < 30),
+  FROM ev WHERE t IN ('click', 'error')),
 fold AS (
   SELECT username, CAST(0 AS BIGINT) AS i, NULL::VARCHAR AS action, NULL::VARCHAR AS category, NULL::BIGINT AS ms,
          NULL::BIGINT AS e, NULL::VARCHAR AS outcome,
@@ -267,7 +266,7 @@ profile_log AS (
 LIKE_BALANCE = """
 balance AS (
   SELECT link, CAST(sum(CASE WHEN t = 'purchase' THEN 1 ELSE -1 END) AS BIGINT) AS likes
-  FROM evx WHERE t = 'purchase' OR (t = 'error' AND k >= 50) GROUP BY link)
+  FROM evx WHERE t IN ('purchase', 'error') GROUP BY link)
 """
 
 PRESENCE = "SELECT username, arg_max(t <> 'error', (ms, e)) AS loggedin FROM ev GROUP BY username"
@@ -275,12 +274,18 @@ POST = "posterusername, postuniqueid, p.timestamp, content, wallusername, flippe
 MESSAGES = "SELECT room AS roomuniqueid, turn AS timestamp, sender, content FROM messages"
 DELIVERIES = """SELECT m.room AS roomuniqueid, turn AS timestamp, sender, member AS receiver, content
   FROM messages m JOIN membership p ON m.room = p.room WHERE member <> sender"""
-LABELS = "SELECT t AS node_type, n AS node, u AS label, round(w, 6) AS weight FROM lab{i} WHERE w > 0"
+LABELS = "SELECT t AS node_type, n AS node, u AS label, round(w, 6) AS weight FROM lab{i} WHERE w > 0.01"
 
 
 def oracle_sql() -> dict[str, str]:
     sql = {
         # sources and sinks
+        "users_scan": _plain(
+            """SELECT username, firstname, lastname, affiliation, birthday, loggedin, coalesce(i.interests, '') AS interests FROM users
+            LEFT JOIN (SELECT username, string_agg(category, ',' ORDER BY category) AS interests FROM interests GROUP BY username) i USING (username)"""
+        ),
+        "friends_scan": _plain("SELECT username1, timestamp, username2 FROM friends"),
+        "stopword_scan": "SELECT DISTINCT name AS word FROM (SELECT lower(r_name) AS name FROM region UNION ALL SELECT lower(n_name) FROM nation)",
         "article_scan": _plain(
             "SELECT author, category, strftime(date + INTERVAL 48 MONTH, '%Y-%m-%d') AS date, headline, link, description FROM all_articles"
         ),
@@ -289,7 +294,7 @@ def oracle_sql() -> dict[str, str]:
             "SELECT username, firstname, lastname FROM users WHERE username IN (SELECT username2 FROM friends)"
         ),
         "seen_snapshot": _plain(
-            "SELECT link, max(username) AS username FROM seen GROUP BY link"
+            "SELECT username, link FROM seen"
         ),
         # filters
         "published_today": _plain(
@@ -318,7 +323,7 @@ def oracle_sql() -> dict[str, str]:
         "adsorption_converged": _with(*_rounds(15, True)) + LABELS.format(i=15),
         "article_scores": _ranked(f"SELECT {SCORE_COLUMNS} FROM scores"),
         "article_scores_unfiltered": _with(
-            *_rounds(2, False, "all_articles"), _scores(2, "all_articles", 0.0)
+            *_rounds(2, False, "all_articles"), _scores(2, "all_articles")
         )
         + f"SELECT {SCORE_COLUMNS} FROM scores",
         "recommendations": _ranked(f"SELECT {SCORE_COLUMNS} FROM recs", RECS),
@@ -327,11 +332,14 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {SCORE_COLUMNS} FROM scores s WHERE NOT EXISTS (SELECT 1 FROM seen x WHERE x.username = s.username AND x.link = s.link)"
         ),
         "recommendation_page": _ranked(
-            f"""SELECT r.username, r.link, r.author, r.category, r.date, r.headline, r.description, round(weight, 6) AS weight,
-                coalesce(b.likes, 0) AS likes FROM recs r LEFT JOIN balance b USING (link)""",
+            """SELECT r.username, r.link, r.author, r.category, r.date, c.headline, c.description, round(weight, 6) AS weight,
+                coalesce(b.likes, 0) AS likes FROM recs r LEFT JOIN catalog c USING (link) LEFT JOIN balance b USING (link)""",
             RECS,
             LIKE_BALANCE,
         ),
+        "scheduled_refresh": _with(*_rounds(15, True), _scores(15), RECS) + f"SELECT {SCORE_COLUMNS} FROM recs",
+        "stored_scores": _with(*_rounds(15, True), _scores(15)) + f"SELECT {SCORE_COLUMNS} FROM scores",
+        "stored_recommendations": _with(*_rounds(15, True), _scores(15), RECS) + f"SELECT {SCORE_COLUMNS} FROM recs",
         # text and search
         "keyword_index": _plain("SELECT * FROM index_words"),
         "stored_keyword_index": _plain("SELECT * FROM index_words"),
@@ -494,6 +502,9 @@ hits AS (
         "stream_messages": _plain(MESSAGES),
         "stream_likes": _plain("SELECT * FROM balance", LIKE_BALANCE),
         "stream_presence": _plain(PRESENCE),
+        "stream_friends": _plain(
+            "SELECT a AS username1, b AS username2, arg_max(action, (ms, e)) AS action FROM friend_both GROUP BY a, b"
+        ),
         "stream_posts": _plain("SELECT * FROM statusposts"),
         "stream_deliveries": _plain(DELIVERIES),
     }

@@ -15,10 +15,9 @@ How a round is laid out:
   what the own-label lift adds. Scaling is folded into the edge weights.
 * Non-user nodes whose only in-edge comes from the same source have equal labels in
   every round (the many articles nobody liked), so one of them stands for all.
-* A graph counted to be small is broadcast, and the labels shuffle by label. Otherwise
-  both shuffle by source; the edges of sources with very many of them are salted, and
-  only their labels are copied once per salt. The list of such sources has at most
-  ``MAX_HOT`` rows.
+* Labels and edges shuffle by source. The edges of a source with more than ``fan_limit``
+  of them are dealt over as many salts as it takes, and only such a source's labels are
+  copied, once per salt. How the list of these sources joins is left to the session.
 """
 
 from dataclasses import dataclass
@@ -32,8 +31,7 @@ TYPE_CODES = {"user": 0, "category": 1, "article": 2}
 
 MAX_ITER = 15
 TOLERANCE = 0.05
-MAX_HOT = 4096
-SMALL_GRAPH = 1 << 20  # arcs of 32 bytes: some 32 MB as rows
+FAN_LIMIT = 1 << 18
 
 
 @dataclass
@@ -71,17 +69,13 @@ def initial_labels(users: DataFrame) -> DataFrame:
 class _Graph:
     """Integer-coded edges of one run, after equal nodes were merged."""
 
-    def __init__(
-        self, edges: DataFrame, users: DataFrame, scratch: Scratch, fan_limit: int, small_graph: int
-    ):
+    def __init__(self, edges: DataFrame, users: DataFrame, scratch: Scratch, fan_limit: int):
         edges = scratch.save(edges, "given")
         self.names = scratch.save(self._number(edges, users), "names")
         coded = scratch.save(self._encode(edges), "coded")
         self.twins = scratch.save(self._twins(coded), "twins")
         self.edges = scratch.save(self._merge(coded), "edges")
-        n_edges = self.edges.count()
-        self.small = n_edges + self.names.count() <= small_graph
-        self.hot = None if self.small else self._hot_sources(scratch, self.edges, n_edges, fan_limit)
+        self.hot = self._hot_sources(scratch, self.edges, fan_limit)
 
     @staticmethod
     def _number(edges: DataFrame, users: DataFrame) -> DataFrame:
@@ -134,28 +128,20 @@ class _Graph:
         return moved.groupBy(F.coalesce("stand_in", "src").alias("src"), "dst").agg(F.sum("w").alias("w"))
 
     @staticmethod
-    def _hot_sources(scratch: Scratch, edges: DataFrame, n_edges: int, fan_limit: int) -> DataFrame | None:
-        """Sources with more edges than the limit, and their number of salts.
-
-        Above the limit ``n_edges / MAX_HOT`` there are fewer than MAX_HOT of them.
-        """
-        limit = max(fan_limit, -(-n_edges // MAX_HOT))
-        fans = edges.groupBy("src").agg(F.count("*").alias("n")).where(F.col("n") > limit)
-        hot = scratch.save(fans.select("src", F.ceil(F.col("n") / limit).alias("salts")), "hot")
-        return None if hot.isEmpty() else hot
+    def _hot_sources(scratch: Scratch, edges: DataFrame, fan_limit: int) -> DataFrame:
+        """Sources with more edges than the limit, and their number of salts."""
+        fans = edges.groupBy("src").agg(F.count("*").alias("n")).where(F.col("n") > fan_limit)
+        return scratch.save(fans.select("src", F.ceil(F.col("n") / fan_limit).alias("salts")), "hot")
 
     def salted(self, labels: DataFrame, arcs: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
         """Both sides of the label-edge join, and its key columns.
 
         A hot source's edges are dealt over its salts and its labels copied to each.
         """
-        if self.hot is None:
-            return labels, arcs, ["src"]
-        hot = F.broadcast(self.hot)
         salts = F.coalesce("salts", F.lit(1).cast("bigint"))
-        dealt = arcs.join(hot, "src", "left").withColumn("salt", F.pmod(F.xxhash64("dst"), salts))
+        dealt = arcs.join(self.hot, "src", "left").withColumn("salt", F.pmod(F.xxhash64("dst"), salts))
         every = F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))
-        copied = labels.join(hot, "src", "left").withColumn("salt", every)
+        copied = labels.join(self.hot, "src", "left").withColumn("salt", every)
         return copied.drop("salts"), dealt.drop("salts"), ["src", "salt"]
 
 
@@ -200,17 +186,10 @@ def propagate_step(
         stay.select("src", "dst", zero.alias("w"), F.col("w").alias("keep"))
     )
     current = labels.where("mass > 0").select(F.col("node").alias("src"), "label", "mass")
-    if graph.small:
-        # labels do not mix: with all arcs at hand, a task that holds a label has
-        # everything its sums need, and only the labels themselves are shuffled; the
-        # number of tasks is set because rows multiply after this shuffle
-        tasks = int(current.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        met = current.repartition(tasks, "label").join(F.broadcast(arcs), "src")
-    else:
-        # a shuffled join on both sides: labels outgrow their file size once decoded, each
-        # meets many arcs, and only shuffled sides let the session split skewed partitions
-        current, arcs, keys = graph.salted(current, arcs)
-        met = current.join(arcs.hint("merge"), keys)
+    # a shuffled join on both sides: labels outgrow their file size once decoded, each
+    # meets many arcs, and only shuffled sides let the session split skewed partitions
+    current, arcs, keys = graph.salted(current, arcs)
+    met = current.join(arcs.hint("merge"), keys)
     received = (
         met.groupBy(F.col("dst").alias("node"), "label")
         .agg(
@@ -238,17 +217,15 @@ def run_adsorption(
     users: DataFrame,
     max_iter: int = MAX_ITER,
     tol: float | None = TOLERANCE,
-    fan_limit: int = 1 << 18,
-    small_graph: int = SMALL_GRAPH,
+    fan_limit: int = FAN_LIMIT,
 ) -> Adsorption:
     """Propagate until no label moves by more than ``tol``, at most ``max_iter`` rounds.
 
-    ``tol=None`` runs exactly ``max_iter`` rounds. A graph whose edges and nodes number
-    at most ``small_graph`` is broadcast to the labels; a larger one is shuffled, with
-    sources of more than ``fan_limit`` edges salted.
+    ``tol=None`` runs exactly ``max_iter`` rounds. Sources of more than ``fan_limit`` edges
+    are salted.
     """
     scratch = Scratch(edges.sparkSession, "adsorption")
-    graph = _Graph(edges, users, scratch, fan_limit, small_graph)
+    graph = _Graph(edges, users, scratch, fan_limit)
 
     is_user = _kind("id") == TYPE_CODES["user"]
     ids = graph.names.select(F.col("id").alias("node"), is_user.alias("user"))

@@ -186,7 +186,7 @@ def apply_interest_changes(
     log: DataFrame,
     users: DataFrame,
     allowed: Sequence[str] = VALID_CATEGORIES,
-    chunk_rows: int = 1 << 20,
+    chunks: int | None = None,
 ) -> DataFrame:
     """The outcome of every logged interest change.
 
@@ -194,48 +194,53 @@ def apply_interest_changes(
     interests and the category among them. Outcomes depend on all earlier ones of the
     user, so each log is read in order, streaming through a task batch by batch.
 
-    The log of a user with more than ``chunk_rows`` changes is cut into chunks of time
-    that run side by side. Each first starts from the user's stored set; then every
-    chunk whose start differs from the end of the one before runs again, until none
-    does. That end is exact: the first chunk starts right, and so then does the next.
+    The whole log is cut into ranges of equal row counts by (user, time, sequence), as many
+    as ``chunks`` or the session say; so a user's burst is cut as finely as its rows ask.
+    Pieces run side by side. Each first starts from the user's stored set; then every
+    piece whose start differs from the end of the one before runs again, until none
+    does. That end is exact: the first piece starts right, and so then does the next. Only
+    users with several pieces take part in these turns.
     """
     held = interests.groupBy("username").agg(F.array_sort(F.collect_set("category")).alias("held"))
-    base = users.select("username").distinct().join(held, "username", "left").select(
-        "username", F.coalesce("held", F.array().cast("array<string>")).alias("held")
-    )
+    known = F.coalesce(F.filter("held", lambda c: c.isNotNull()), F.array().cast("array<string>"))
+    base = users.select("username").distinct().join(held, "username", "left").select("username", known.alias("held"))
+    scratch = Scratch(log.sparkSession, "interests")
+    base = scratch.save(base, "base")
+    order = ("username", "timestamp", "seq")
     changes = log.select("username", "timestamp", "seq", "action", F.upper("category").alias("category"))
-    span = changes.groupBy("username").agg(
-        F.count("*").alias("n"), F.min("timestamp").alias("lo"), F.max("timestamp").alias("hi")
+    dealt = changes.repartitionByRange(*order) if chunks is None else changes.repartitionByRange(chunks, *order)
+    chunked = scratch.save(dealt.withColumn("chunk", F.spark_partition_id().cast("bigint")), "changes")
+    keys = ["username", "chunk"]
+    by_user = Window.partitionBy("username")  # as many rows as a user has pieces
+    pieces = chunked.select(*keys).distinct().withColumns(
+        {"previous": F.lag("chunk").over(by_user.orderBy("chunk")), "last": F.max("chunk").over(by_user)}
     )
-    long_logs = span.where(F.col("n") > chunk_rows)
-    whole = F.lit(0).cast("bigint")
-    if long_logs.isEmpty():
-        return _run_fold(base.withColumn("chunk", whole), changes.withColumn("chunk", whole), allowed, False)
+    pieces = scratch.save(pieces, "pieces")
+    several = pieces.where("previous is not null or chunk <> last")
+    starts = scratch.save(several.select(*keys).join(base, "username"), "starts_0")
+    unfinished = several.where("chunk <> last").select(*keys)
 
-    scratch = Scratch(log.sparkSession, "interests")
-    width = F.ceil((F.col("hi") - F.col("lo") + 1) * chunk_rows / F.col("n"))
-    piece = F.floor((F.col("timestamp") - F.col("lo")) / width)
-    chunked = scratch.save(
-        changes.join(long_logs, "username", "left")
-        .withColumn("chunk", F.coalesce(piece, whole))
-        .drop("n", "lo", "hi"),
-        "changes",
-    )
-    keys = ["username", "chunk"]
-    starts = scratch.save(chunked.select(*keys).distinct().join(base, "username"), "starts_0")
-    ends = scratch.save(_run_fold(starts, chunked, allowed, True), "ends_0")
+    def fold_ends(starting: DataFrame) -> DataFrame:
+        open_starts = starting.join(unfinished, keys, "left_semi")
+        return _run_fold(open_starts, chunked.join(open_starts.select(*keys), keys, "left_semi"), allowed, True)
+
+    ends = scratch.save(fold_ends(starts), "ends_0")
+    follow = several.where("previous is not null").select(*keys, "previous")
     turn = 0
     while True:
         turn += 1
-        carried = F.lag("held").over(Window.partitionBy("username").orderBy("chunk"))
-        follow = ends.select(*keys, carried.alias("carried"))
-        due = starts.join(follow, keys).where("carried is not null and carried <> held")
+        carried = ends.select("username", F.col("chunk").alias("previous"), F.col("held").alias("carried"))
+        due = starts.join(follow, keys).join(carried, ["username", "previous"]).where("carried <> held")
         due = scratch.save(due.select(*keys, F.col("carried").alias("held")), f"due_{turn}")
         if due.isEmpty():
-            return _run_fold(starts, chunked, allowed, False)
-        again = _run_fold(due, chunked.join(due.select(*keys), keys, "left_semi"), allowed, True)
+            break
+        again = fold_ends(due)
         ends = scratch.save(ends.join(due.select(*keys), keys, "left_anti").unionByName(again), f"ends_{turn}")
         starts = scratch.save(starts.join(due.select(*keys), keys, "left_anti").unionByName(due), f"starts_{turn}")
+        scratch.drop(f"ends_{turn - 1}")
+        scratch.drop(f"starts_{turn - 1}")
+    whole = pieces.where("previous is null and chunk = last").select(*keys).join(base, "username")
+    return _run_fold(whole.unionByName(starts), chunked, allowed, False)
 
 
 def interest_status_posts(outcomes: DataFrame) -> DataFrame:

@@ -11,7 +11,8 @@ STATUS = ("posterusername", "postuniqueid", "timestamp", "content")
 
 
 def _friend_pairs(friends: DataFrame) -> DataFrame:
-    return friends.select("username1", "username2").distinct()
+    """The stored friendships, keyed by pair."""
+    return friends.select("username1", "username2")
 
 
 def _newest_first(feed: DataFrame, *reader: str) -> DataFrame:

@@ -9,9 +9,8 @@ SUGGESTIONS = 5
 
 
 def _friend_pairs(friends: DataFrame) -> DataFrame:
-    return friends.select(
-        F.col("username1").alias("username"), F.col("username2").alias("friend")
-    ).distinct()
+    """The stored friendships, keyed by pair."""
+    return friends.select(F.col("username1").alias("username"), F.col("username2").alias("friend"))
 
 
 def online_friends(friends: DataFrame, users: DataFrame) -> DataFrame:

@@ -68,6 +68,10 @@ class SampleTables:
     def username(self) -> Column:
         return _name(F.col("user_id"))
 
+    @property
+    def signup_category(self) -> Column:
+        return F.concat(F.lit("SRC"), (F.col("k") % 20).cast("string"))
+
     @property
     def event_link(self) -> Column:
         return _link((F.col("event_id") * 7 + F.col("k")) % self.n_documents)
@@ -82,9 +86,9 @@ class SampleTables:
             F.col("lang").alias("author"),
             F.upper("source").alias("category"),
             F.date_add(F.lit(date(2024, 1, 1)), (F.col("doc_id") % 30).cast("int")).alias("date"),
-            F.substring("text", 1, 80).alias("headline"),
+            F.col("text").alias("headline"),
             _link(F.col("doc_id")).alias("link"),
-            F.substring("text", 1, 200).alias("description"),
+            F.col("text").alias("description"),
         )
 
     @cached_property
@@ -94,9 +98,7 @@ class SampleTables:
     @cached_property
     def users(self) -> DataFrame:
         """Profile columns; presence and interests come from their logs."""
-        interest = F.when(
-            (F.col("event_type") == "signup") & (F.col("k") < 20), F.concat(F.lit("SRC"), F.col("k").cast("string"))
-        )
+        interest = F.when(F.col("event_type") == "signup", self.signup_category)
         per_user = self.events.groupBy("user_id").agg(
             F.max_by(F.col("event_type") != "error", F.struct("timestamp", "event_id")).alias("loggedin"),
             F.array_sort(F.collect_set(interest)).alias("interests"),  # at most 20 categories
@@ -120,12 +122,11 @@ class SampleTables:
 
     @cached_property
     def interests(self) -> DataFrame:
-        category = F.concat(F.lit("SRC"), F.col("k").cast("string"))
-        return self.of_type("signup").where("k < 20").select(self.username.alias("username"), category.alias("category")).distinct()
+        return self.of_type("signup").select(self.username.alias("username"), self.signup_category.alias("category")).distinct()
 
     @cached_property
     def likes(self) -> DataFrame:
-        return self.of_type("purchase").where("k < 50").select(self.username.alias("username"), self.event_link.alias("link")).distinct()
+        return self.of_type("purchase").select(self.username.alias("username"), self.event_link.alias("link")).distinct()
 
     @cached_property
     def seen(self) -> DataFrame:
@@ -133,10 +134,12 @@ class SampleTables:
 
     @cached_property
     def friend_log(self) -> DataFrame:
+        return self.friend_log_of(self.events)
+
+    def friend_log_of(self, events: DataFrame) -> DataFrame:
         action = F.when(F.col("event_type") == "click", "add").otherwise("remove")
         return (
-            self.of_type("click", "error")
-            .where("k < 50")
+            events.where("event_type in ('click', 'error')")
             .select(
                 self.username.alias("username1"),
                 self.event_friend.alias("username2"),
@@ -163,7 +166,7 @@ class SampleTables:
 
     def like_log_of(self, events: DataFrame) -> DataFrame:
         delta = F.when(F.col("event_type") == "purchase", 1).otherwise(-1).cast("bigint")
-        return events.where("event_type = 'purchase' or (event_type = 'error' and k >= 50)").select(
+        return events.where("event_type in ('purchase', 'error')").select(
             self.event_link.alias("link"), delta.alias("delta")
         )
 
@@ -219,10 +222,10 @@ class SampleTables:
     @cached_property
     def interest_log(self) -> DataFrame:
         action = F.when(F.col("event_type") == "click", "add").otherwise("delete")
-        return self.of_type("click", "error").where("k < 30").select(
+        return self.of_type("click", "error").select(
             self.username.alias("username"),
             action.alias("action"),
-            F.concat(F.lit("src"), F.col("k").cast("string")).alias("category"),
+            F.concat(F.lit("src"), (F.col("k") % 25).cast("string")).alias("category"),
             "timestamp",
             F.col("event_id").alias("seq"),
         )
@@ -266,13 +269,13 @@ class SampleTables:
 
     @cached_property
     def visits(self) -> DataFrame:
-        """Wall visits: every user's own, every friend's, and the next user's."""
+        """Wall visits: every user's own, the walls they posted on, and the next user's."""
         own = self.usernames.select(F.col("username").alias("viewer"), F.col("username").alias("owner"))
-        friendly = self.friends.select(F.col("username1").alias("viewer"), F.col("username2").alias("owner"))
+        posted = self.posts.select(F.col("posterusername").alias("viewer"), F.col("wallusername").alias("owner"))
         following = self.user_ids.select(
             self.username.alias("viewer"), _name((F.col("user_id") + 1) % self.n_users).alias("owner")
         )
-        return own.unionByName(friendly).unionByName(following).distinct()
+        return own.unionByName(posted).unionByName(following).distinct()
 
     @cached_property
     def usersearch(self) -> DataFrame:
@@ -291,10 +294,12 @@ class SampleTables:
 
     @cached_property
     def queries(self) -> DataFrame:
+        """The search texts, each issued once, by the user of the same number."""
         texts = F.array(*[F.lit(t) for t in SEARCH_TEXTS])
-        turn = (F.col("user_id") % len(SEARCH_TEXTS)).cast("int")
-        return self.user_ids.select(
-            F.col("user_id").alias("query_id"), self.username.alias("username"), F.get(texts, turn).alias("text")
+        return self.user_ids.where(F.col("user_id") < len(SEARCH_TEXTS)).select(
+            F.col("user_id").alias("query_id"),
+            self.username.alias("username"),
+            F.get(texts, F.col("user_id").cast("int")).alias("text"),
         )
 
     @cached_property
