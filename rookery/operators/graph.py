@@ -9,6 +9,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rookery.plans.scratch import Scratch
+
 # Base shares of a user's outgoing weight, and of a category's.
 USER_SHARES = {"category": 0.3, "article": 0.4, "user": 0.3}
 CATEGORY_SHARE = 0.5
@@ -158,6 +160,10 @@ def social_graph(
     friends: DataFrame,
     articles: DataFrame,
 ) -> DataFrame:
-    """The weighted edge list straight from the stored tables."""
-    arcs = adjacency(users, interests, likes, friends, articles)
+    """The weighted edge list straight from the stored tables.
+
+    The arcs are written once, since degrees and edges both read them.
+    """
+    scratch = Scratch(users.sparkSession, "graph")
+    arcs = scratch.save(adjacency(users, interests, likes, friends, articles), "arcs")
     return build_edges(arcs, edge_weights(degree_counts(arcs, users)))

@@ -12,8 +12,6 @@ TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings",
     "pages", "benchmark", "labels", "conversations",
 )
-# the long run is compared at sf0.01 by the driver; here its three-round form stands for it
-SLOW = {"adsorption_converged", "scheduled_refresh", "adsorption_2"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are not here")
 
@@ -30,7 +28,7 @@ def test_every_twin_has_a_query():
     assert set(entry_module.oracle_sql()) <= set(entry_module.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_module.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(entry_module.oracle_sql()))
 def test_query_equals_twin(spark, duck, name):
     frame = entry_module.queries()[name](spark, FOLDER)
     columns = sorted(frame.columns)
