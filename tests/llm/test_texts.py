@@ -228,11 +228,21 @@ def test_model_scores_are_probabilities():
     chance = np.random.default_rng(0)
     inputs = chance.integers(-127, 127, (lm.PREDICTORS, 3000)).astype(np.int8)
     bits = chance.integers(0, 2, 3000).astype(np.int8)
-    shorter = lm.mixed_bits(inputs[:, :-1], bits[:-1])
-    ends = [lm.mixed_bits(inputs, np.concatenate([bits[:-1], [b]]).astype(np.int8)) - shorter for b in (0, 1)]
+    shorter = lm.mixed_bits(inputs[:, :-1], bits[:-1], np.array([0, 2999]))[0]
+    ends = [lm.mixed_bits(inputs, np.concatenate([bits[:-1], [b]]).astype(np.int8), np.array([0, 3000]))[0] - shorter for b in (0, 1)]
     assert abs(2 ** -ends[0] + 2 ** -ends[1] - 1) < 1e-4
 
 
+def test_documents_do_not_mix():
+    chance = np.random.default_rng(1)
+    inputs = chance.integers(-60, 60, (lm.PREDICTORS, 9000)).astype(np.int8)
+    bits = chance.integers(0, 2, 9000).astype(np.int8)
+    edges = np.array([0, 1, 4000, 4000, 4100, 9000])
+    together = lm.mixed_bits(inputs, bits, edges)
+    alone = [lm.mixed_bits(inputs[:, a:b], bits[a:b], np.array([0, b - a]))[0] for a, b in itertools.pairwise(edges)]
+    assert np.allclose(together, alone, rtol=1e-6)
+
+
 def test_lm_of_odd_documents(odd_docs, odd_rows, no_docs):
     check_base(odd_rows, lm.score_documents(odd_docs).collect())
     assert lm.score_documents(no_docs).count() == 0
