@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from rookery.llm import chat, decontaminate, lm, packing, pii, quality
+from rookery.llm import batched, chat, decontaminate, lm, packing, pii, quality
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -248,6 +248,49 @@ def test_lm_of_odd_documents(odd_docs, odd_rows, no_docs):
     assert lm.score_documents(no_docs).count() == 0
 
 
+def test_contexts_are_counted_apart_however_many_there_are():
+    """Over 2^22 pairs of context and node: a node has odds where training has its context only."""
+    chance = np.random.default_rng(3)
+    learned, other = (chance.integers(32, 128, n, dtype=np.uint8).tobytes() for n in (1 << 20, 4000))
+    tree = lm.forest(np.ones((lm.END, lm.END + 1), np.int64))
+    own, asked = (lm.batch_keys(t, np.array([0, len(t)]), tree)[0][2] for t in (learned, other))
+    keys = np.unique(np.concatenate([own, asked]))
+    counts = np.searchsorted(np.sort(own), keys, "right") - np.searchsorted(np.sort(own), keys)
+    length, odds = lm.path_odds(keys, counts, tree)
+    assert length.sum() > 1 << 22
+    at = (np.cumsum(length) - length)[np.searchsorted(keys, asked)]
+    known = {learned[i - 6 : i] for i in range(6, len(learned) + 1)}
+    assert [odds[i] != 0 for i in at[6:]] == [other[i - 6 : i] in known for i in range(6, len(other) + 1)]
+
+
+def test_odds_of_a_path_are_those_of_its_context():
+    """Answers of buckets against counts in plain Python."""
+    texts = [b"abracadabra", b"abrab", b"", b"cadabrax"]
+    pairs = np.zeros((lm.END, lm.END + 1), np.int64)
+    tree = lm.forest(pairs)
+    first, bits = tree[:2]
+    counted = Counter()
+    paths = [[(t[max(0, i - 2) : i].rjust(2, b"\0"), t[i] if i < len(t) else lm.END) for i in range(len(t) + 1)] for t in texts]
+    for before, symbol in itertools.chain(*paths):
+        code = bits[slice(*first[before[-1] * 257 + symbol : before[-1] * 257 + symbol + 2])].tolist()
+        counted.update((before, *code[:d], "=", code[d]) for d in range(len(code)))
+    data, bounds = b"".join(texts), np.cumsum([0] + [len(t) for t in texts])
+    n_buckets, told = 3, {}
+    all_keys = [np.unique(k, return_counts=True) for k in lm.batch_keys(data, bounds, tree)[0]]
+    keys, counts = (np.concatenate(x) for x in zip(*all_keys, strict=True))
+    for k, (x, n) in batched.by_bucket(lm._bucket(keys, n_buckets), keys, counts):
+        told[k] = batched.compress(lm.path_odds(x, n, tree)[1])
+    ((_, _, inputs, _, _),) = lm.batch_inputs(data, bounds, tree, told, n_buckets)
+    want = []
+    for before, symbol in itertools.chain(*paths):
+        code = bits[slice(*first[before[-1] * 257 + symbol : before[-1] * 257 + symbol + 2])].tolist()
+        for d in range(len(code)):
+            zeros, ones = (counted[(before, *code[:d], "=", b)] for b in (0, 1))
+            odds = math.log((ones + 0.1) / (zeros + 0.1)) * lm.UNIT
+            want.append(max(-127, min(127, round(odds) if abs(odds) >= 1 else -1 if odds < 0 else 1)))
+    assert inputs[0].tolist() == want
+
+
 def test_huffman_paths_are_a_prefix_code():
     first, nodes, bits = lm.huffman(np.array([5, 1, 1, 0, 9]))
     codes = [tuple(bits[first[s] : first[s + 1]].tolist()) for s in range(5)]
