@@ -4,6 +4,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rookery.plans.scratch import Scratch
+
 
 def latest(value: str | Column, *order: str) -> Column:
     """Aggregate: the value of the row that comes last; mergeable, so combined map-side."""
@@ -33,3 +35,40 @@ def previous_value(
     return looked.join(carried, group).withColumn(name, found).drop(
         "_chunk", "_previous", "_position", "_carried"
     )
+
+
+def range_parts(rows: DataFrame, order: Sequence[str | Column], scratch: Scratch, label: str) -> DataFrame:
+    """The rows as a stored table of equal ranges of ``order``, each with its number ``part``.
+
+    The table fixes which row lies in which part, so later plans agree on it. Range
+    borders come from a sample of the rows, hence ``rows`` should be cheap to read twice.
+    """
+    dealt = rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id())
+    return scratch.save(dealt, label)
+
+
+def positions(
+    rows: DataFrame,
+    order: Sequence[str | Column],
+    scratch: Scratch,
+    label: str,
+    per: Sequence[str] = (),
+    name: str = "position",
+) -> DataFrame:
+    """Adds the row's place in ``order``, from 1, counted anew for each ``per`` value.
+
+    ``order`` should be total but for equal rows, and start with the ``per`` columns. Rows
+    are ranked inside range parts of equal size and a part adds the sizes of those before
+    it, so no task reads all rows of a busy value.
+    """
+    parts = range_parts(rows, order, scratch, label)
+    group = [*per, "part"]
+    sizes = parts.groupBy(*group).agg(F.count(F.lit(1)).alias("_size"))
+    # as many rows as a value has parts, at most the number of shuffle partitions
+    earlier = Window.partitionBy(*per).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*group, F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_start"))
+    ranked = parts.withColumn("_rank", F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+    matched = [ranked[c].eqNullSafe(starts[c]) for c in group]
+    joined = ranked.join(starts, matched)
+    place = (F.col("_start") + F.col("_rank")).cast("bigint").alias(name)
+    return joined.select(*[ranked[c] for c in rows.columns], place)
