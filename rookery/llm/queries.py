@@ -3,7 +3,21 @@
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from rookery.llm import chat, decontaminate, exact, lm, minhash, packing, pii, quality, repeats, shards
+from rookery.llm import (
+    chat,
+    decontaminate,
+    exact,
+    lm,
+    minhash,
+    packing,
+    pages,
+    pii,
+    quality,
+    repeats,
+    resample,
+    runs,
+    shards,
+)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -54,6 +68,18 @@ def op10_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return shards.shard_documents(_table(spark, folder, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return runs.digests(runs.find_runs(runs.with_planted_runs(_table(spark, folder, "documents"))))
+
+
+def op12_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return pages.extract(_table(spark, folder, "pages"))
+
+
+def op13_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resample.resample(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 QUERIES = {
     "pipeline": corpus_pipeline.run,
     "op1_decontamination": op1_decontamination,
@@ -66,6 +92,9 @@ QUERIES = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_pii": op9_pii,
     "op10_sharding": op10_sharding,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_html_extraction": op12_html_extraction,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 
@@ -78,7 +107,56 @@ def _sql_escaped(text: str) -> str:
 
 _MARKS = len(chat.OPEN) + len(chat.AFTER_ROLE) + len(chat.CLOSE)
 
+_CRC_TABLE = """list_transform(range(256), lambda v: list_reduce(list_prepend(v, range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END))"""
+
+
+def _sql_features(table: str, key: str) -> str:
+    """(key, feature) rows: all words and pairs of neighbouring words of a table's texts."""
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = f"list_filter(regexp_split_to_array({lower}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda w: w <> '')"
+    return f"""
+        SELECT row, {key} AS key, len(words) AS n_words, unnest(list_concat(words,
+            list_transform(range(1, len(words)), lambda k: words[k] || ' ' || words[k + 1]))) AS feature
+        FROM (SELECT row_number() OVER () AS row, *, {words} AS words FROM {table})"""
+
+
 ORACLE_SQL = {
+    "op13_importance_resampling": f"""
+        WITH raw AS ({_sql_features("documents", "doc_id")}),
+        target AS ({_sql_features("benchmark", "item_id")}),
+        crc AS (SELECT {_CRC_TABLE} AS steps),
+        spelled AS (SELECT DISTINCT feature, hex(encode(feature)) AS digits FROM (SELECT feature FROM raw UNION ALL SELECT feature FROM target)),
+        hashed AS (
+            SELECT feature, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(len(digits) // 2),
+                lambda k: ('0x' || digits[2 * k + 1:2 * k + 2])::BIGINT)),
+                lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket
+            FROM spelled, crc
+        ),
+        s AS (SELECT bucket, count(*) AS n FROM raw JOIN hashed USING (feature) GROUP BY bucket),
+        t AS (SELECT bucket, count(*) AS n FROM target JOIN hashed USING (feature) GROUP BY bucket),
+        gains AS (
+            SELECT bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM s) + 10000)
+                / ((s.n + 1)::DOUBLE * ((SELECT coalesce(sum(n), 0) FROM t) + 10000))))::BIGINT AS gain
+            FROM s LEFT JOIN t USING (bucket)
+        ),
+        weighed AS (
+            SELECT row, count(*) AS n_features, any_value(n_words) AS n_words,
+                (sum(gain) - (((sum(gain) % count(*)) + count(*)) % count(*))) // count(*) AS weight
+            FROM raw JOIN hashed USING (feature) JOIN gains USING (bucket) GROUP BY row
+        ),
+        scored AS (
+            SELECT d.row, doc_id, coalesce(n_features, 0) AS n_features, coalesce(n_words, 0) AS n_words,
+                coalesce(weight, 0)::BIGINT AS weight, coalesce(weight, 0)::BIGINT + floor(-1000 * ln(-ln(
+                    (('0x' || substr(sha256('7:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5) / 4294967296)))::BIGINT AS score
+            FROM (SELECT row_number() OVER () AS row, doc_id FROM documents) d LEFT JOIN weighed USING (row)
+        ),
+        ranked AS (
+            SELECT row, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER () AS able
+            FROM scored WHERE n_words >= 20
+        )
+        SELECT doc_id, n_features, weight, score, CASE WHEN place <= 25 * able // 100 THEN place END AS rank
+        FROM scored LEFT JOIN ranked USING (row)""",
     "op4_chat_formatting": f"""
         WITH turns AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
