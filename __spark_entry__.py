@@ -24,7 +24,7 @@ from rookery.sources.sample_tables import (
     SIGNUP_CATEGORIES,
     SampleTables,
 )
-from rookery.streaming import tables as streams
+from rookery.streaming import rules, tables as streams
 
 try:  # the training-data operators are an optional part
     import rookery.llm.queries as llm_queries
@@ -164,6 +164,26 @@ def _event_stream(t: SampleTables) -> DataFrame:
     return t.coded_events(_stream(t, "events"))
 
 
+def _stream_interest_changes(t: SampleTables) -> DataFrame:
+    arriving = t.interest_log_of(_event_stream(t))
+    return streams.run_appends(rules.stream_interest_changes(arriving, t.interests, t.usernames, SAMPLE_CATEGORIES))
+
+
+def _stream_signups(t: SampleTables) -> DataFrame:
+    arriving = t.signups_of(_stream(t, "customer"))
+    decided = streams.run_appends(rules.stream_signups(arriving, t.taken_names, SIGNUP_CATEGORIES))
+    return decided.select("seq", "username", "reason")
+
+
+def _stream_affiliations(t: SampleTables) -> DataFrame:
+    return streams.run_appends(rules.stream_affiliations(t.affiliation_log_of(_event_stream(t)), t.users))
+
+
+def _stream_membership(t: SampleTables) -> DataFrame:
+    last = streams.run_upserts(streams.stream_membership(t.room_log_of(_event_stream(t))), ["roomuniqueid", "member"])
+    return last.where("action = 'join'").select("roomuniqueid", "member")
+
+
 def _stream_messages(t: SampleTables) -> DataFrame:
     sent = F.timestamp_millis(F.lit(AS_OF_MS) + F.col("timestamp"))
     timed = t.messages_of(_stream(t, "conversations")).withColumn("ts", sent)
@@ -320,6 +340,13 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     ),
     "stream_posts": lambda t: streams.run_appends(streams.ingest_posts(t.statusposts_of(_event_stream(t)))),
     "stream_deliveries": _stream_deliveries,
+    "stream_interest_changes": _stream_interest_changes,
+    "stream_signups": _stream_signups,
+    "stream_affiliations": _stream_affiliations,
+    "stream_profile": lambda t: streams.run_upserts(
+        streams.stream_profile(t.profile_log_of(_event_stream(t))), ["username"]
+    ),
+    "stream_membership": _stream_membership,
 }
 
 

@@ -10,14 +10,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rookery.functions.scalar import (
-    MILLIS_PER_DAY,
     capitalize_name,
     clean_link,
     full_name,
     post_id,
     sha256_hex,
 )
-from rookery.operators.ordered import latest, previous_value
+from rookery.operators.ordered import latest, previous_value, range_parts
 from rookery.plans.scratch import Scratch
 
 # The categories an account may declare.
@@ -115,6 +114,32 @@ def not_in_whitelist(df: DataFrame, column: str, allowed: Sequence[str] = VALID_
     return df.where(~F.coalesce(F.col(column).isin(*allowed), F.lit(False)))
 
 
+def decide_interest(current: set[str], exists: bool, action: str, category: str, allowed: frozenset[str]) -> str:
+    """The outcome of one interest change; an accepted one changes the set of ``current`` interests."""
+    if not exists:
+        return "unknown_user"
+    if action == "add":
+        if category in current:
+            return "already_interested"
+        if category not in allowed:
+            return "invalid_category"
+        current.add(category)
+    else:
+        if len(current) < MIN_INTERESTS_TO_DELETE:
+            return "too_few"
+        if category not in current:
+            return "not_interested"
+        current.remove(category)
+    return "accepted"
+
+
+def held_interests(interests: DataFrame, users: DataFrame) -> DataFrame:
+    """(username, held): the interests of each user as a sorted array, empty when there are none."""
+    held = interests.groupBy("username").agg(F.array_sort(F.collect_set("category")).alias("held"))
+    known = F.coalesce(F.filter("held", lambda c: c.isNotNull()), F.array().cast("array<string>"))
+    return users.select("username").distinct().join(held, "username", "left").select("username", known.alias("held"))
+
+
 def _fold_interests(
     batches: Iterator[pd.DataFrame], allowed: frozenset[str], states_only: bool
 ) -> Iterator[pd.DataFrame]:
@@ -132,26 +157,10 @@ def _fold_interests(
                 if exists:
                     ended.append((*key, sorted(current)))
                 key, exists, current = (name, chunk), False, set()
-            outcome = None
             if held is not None:
-                exists, current = True, set(held)
-            elif not exists:
-                outcome = "unknown_user"
-            elif action == "add":
-                if category in current:
-                    outcome = "already_interested"
-                elif category not in allowed:
-                    outcome = "invalid_category"
-                else:
-                    current.add(category)
-                    outcome = "accepted"
-            elif len(current) < MIN_INTERESTS_TO_DELETE:
-                outcome = "too_few"
-            elif category not in current:
-                outcome = "not_interested"
+                exists, current, outcome = True, set(held), None
             else:
-                current.remove(category)
-                outcome = "accepted"
+                outcome = decide_interest(current, exists, action, category, allowed)
             outcomes.append(outcome)
         if states_only:
             yield pd.DataFrame(ended, columns=["username", "chunk", "held"])
@@ -201,11 +210,8 @@ def apply_interest_changes(
     does. That end is exact: the first piece starts right, and so then does the next. Only
     users with several pieces take part in these turns.
     """
-    held = interests.groupBy("username").agg(F.array_sort(F.collect_set("category")).alias("held"))
-    known = F.coalesce(F.filter("held", lambda c: c.isNotNull()), F.array().cast("array<string>"))
-    base = users.select("username").distinct().join(held, "username", "left").select("username", known.alias("held"))
     scratch = Scratch(log.sparkSession, "interests")
-    base = scratch.save(base, "base")
+    base = scratch.save(held_interests(interests, users), "base")
     order = ("username", "timestamp", "seq")
     changes = log.select("username", "timestamp", "seq", "action", F.upper("category").alias("category"))
     dealt = changes.repartitionByRange(*order) if chunks is None else changes.repartitionByRange(chunks, *order)
@@ -254,18 +260,26 @@ def interest_status_posts(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def affiliation_events(log: DataFrame, users: DataFrame, chunk_ms: int = MILLIS_PER_DAY) -> DataFrame:
+def affiliation_events(log: DataFrame, users: DataFrame) -> DataFrame:
     """A status post for every logged affiliation that differs from the one before.
 
-    The first change of a user compares with the account's own affiliation.
+    The first change of a user compares with the account's own affiliation. The log is cut
+    into range parts by (user, time, sequence), so a user's busy day spreads over as many
+    tasks as its rows ask; one value per user and part passes to the next part.
     """
     changes = log.select("username", "affiliation", "timestamp", "seq")
-    chunk = F.floor(F.col("timestamp") / chunk_ms)
-    before = previous_value(changes, ["username"], ["timestamp", "seq"], "affiliation", chunk, "before")
+    scratch = Scratch(log.sparkSession, "affiliations")
+    parts = range_parts(changes, ["username", "timestamp", "seq"], scratch, "changes")
+    before = previous_value(parts, ["username"], ["timestamp", "seq"], "affiliation", F.col("part"), "before")
     first = users.select("username", F.col("affiliation").alias("initial"))
     changed = before.join(first, "username").where(
         ~F.coalesce("before", "initial").eqNullSafe(F.col("affiliation"))
     )
+    return affiliation_posts(changed)
+
+
+def affiliation_posts(changed: DataFrame) -> DataFrame:
+    """The status posts of (username, affiliation, timestamp) rows that changed something."""
     return changed.select(
         F.col("username").alias("posterusername"),
         post_id(F.col("timestamp"), F.col("username")).alias("postuniqueid"),
@@ -293,14 +307,8 @@ def presence(log: DataFrame) -> DataFrame:
     return log.groupBy("username").agg(latest("loggedin", "timestamp", "seq").alias("loggedin"))
 
 
-def validate_signups(
-    signups: DataFrame, users: DataFrame, allowed: Sequence[str] = VALID_CATEGORIES
-) -> DataFrame:
-    """Signups with ``reason``: the first failed check, null when accepted.
-
-    A username belongs to its existing account, else to the first otherwise valid
-    signup by ``seq``.
-    """
+def with_refusal(signups: DataFrame, allowed: Sequence[str] = VALID_CATEGORIES) -> DataFrame:
+    """Adds ``_failed``: the first failed check that needs nothing but the row itself, or null."""
     interest_1, interest_2 = F.upper("newsinterest1"), F.upper("newsinterest2")
     checks = [
         (~interest_1.isin(*allowed), INVALID_INTEREST_1),
@@ -309,7 +317,18 @@ def validate_signups(
         *[(F.length(field) == 0, reason) for field, reason in BLANK_REASONS.items()],
     ]
     failed = F.coalesce(*[F.when(F.coalesce(test, F.lit(True)), reason) for test, reason in checks])
-    checked = signups.withColumn("_failed", failed)
+    return signups.withColumn("_failed", failed)
+
+
+def validate_signups(
+    signups: DataFrame, users: DataFrame, allowed: Sequence[str] = VALID_CATEGORIES
+) -> DataFrame:
+    """Signups with ``reason``: the first failed check, null when accepted.
+
+    A username belongs to its existing account, else to the first otherwise valid
+    signup by ``seq``.
+    """
+    checked = with_refusal(signups, allowed)
     owners = (
         users.select("username", F.lit(None).cast("bigint").alias("seq"), F.lit(True).alias("taken"))
         .unionByName(

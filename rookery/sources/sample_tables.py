@@ -61,8 +61,9 @@ class SampleTables:
     def events(self) -> DataFrame:
         return self.coded_events(self.source("events"))
 
-    def of_type(self, *types: str) -> DataFrame:
-        return self.events.where(F.col("event_type").isin(*types))
+    def of_type(self, *types: str, events: DataFrame | None = None) -> DataFrame:
+        rows = self.events if events is None else events
+        return rows.where(F.col("event_type").isin(*types))
 
     @property
     def username(self) -> Column:
@@ -197,9 +198,8 @@ class SampleTables:
     def presence_log(self) -> DataFrame:
         return self.presence_log_of(self.events)
 
-    @cached_property
-    def affiliation_log(self) -> DataFrame:
-        return self.of_type("view").select(
+    def affiliation_log_of(self, events: DataFrame) -> DataFrame:
+        return self.of_type("view", events=events).select(
             self.username.alias("username"),
             F.concat(F.lit("aff"), (F.col("k") % 5).cast("string")).alias("affiliation"),
             "timestamp",
@@ -207,7 +207,10 @@ class SampleTables:
         )
 
     @cached_property
-    def profile_log(self) -> DataFrame:
+    def affiliation_log(self) -> DataFrame:
+        return self.affiliation_log_of(self.events)
+
+    def profile_log_of(self, events: DataFrame) -> DataFrame:
         k = F.col("k").cast("string")
         field = F.when(F.col("event_type") == "view", "affiliation").when(F.col("event_type") == "click", "email").otherwise("password")
         value = (
@@ -215,14 +218,17 @@ class SampleTables:
             .when(F.col("event_type") == "click", F.concat(self.username, F.lit("@mail"), k))
             .otherwise(F.sha2(F.concat(F.lit("secret"), k), 256))
         )
-        return self.of_type("view", "click", "purchase").select(
+        return self.of_type("view", "click", "purchase", events=events).select(
             self.username.alias("username"), field.alias("field"), value.alias("value"), "timestamp", F.col("event_id").alias("seq")
         )
 
     @cached_property
-    def interest_log(self) -> DataFrame:
+    def profile_log(self) -> DataFrame:
+        return self.profile_log_of(self.events)
+
+    def interest_log_of(self, events: DataFrame) -> DataFrame:
         action = F.when(F.col("event_type") == "click", "add").otherwise("delete")
-        return self.of_type("click", "error").select(
+        return self.of_type("click", "error", events=events).select(
             self.username.alias("username"),
             action.alias("action"),
             F.concat(F.lit("src"), (F.col("k") % 25).cast("string")).alias("category"),
@@ -230,6 +236,10 @@ class SampleTables:
             F.col("event_id").alias("seq"),
         )
 
+    @cached_property
+    def interest_log(self) -> DataFrame:
+        return self.interest_log_of(self.events)
+
     @cached_property
     def posts(self) -> DataFrame:
         """Wall posts as sent, before mirroring."""
@@ -326,11 +336,10 @@ class SampleTables:
             F.col("conv_id").alias("roomuniqueid"), F.col("role").alias("member")
         ).distinct()
 
-    @cached_property
-    def room_log(self) -> DataFrame:
+    def room_log_of(self, events: DataFrame) -> DataFrame:
         """Users join room k on a view and leave it on an error."""
         action = F.when(F.col("event_type") == "view", "join").otherwise("leave")
-        return self.of_type("view", "error").select(
+        return self.of_type("view", "error", events=events).select(
             F.col("k").cast("bigint").alias("roomuniqueid"),
             self.username.alias("member"),
             action.alias("action"),
@@ -338,6 +347,10 @@ class SampleTables:
             F.col("event_id").alias("seq"),
         )
 
+    @cached_property
+    def room_log(self) -> DataFrame:
+        return self.room_log_of(self.events)
+
     @cached_property
     def room_groups(self) -> DataFrame:
         """Member groups to look up: one per benchmark item, sized by its text."""
@@ -358,10 +371,13 @@ class SampleTables:
 
     @cached_property
     def signups(self) -> DataFrame:
+        return self.signups_of(self.source("customer"))
+
+    def signups_of(self, customers: DataFrame) -> DataFrame:
         number = F.col("c_custkey")
         name = F.when(number % 25 == 0, "").when(number % 10 == 1, F.concat(F.lit("shared"), (number % 100).cast("string"))).otherwise(F.col("c_name"))
         segments = F.array(F.lit("building"), F.lit("MACHINERY"), F.lit("Automobile"))
-        return self.source("customer").select(
+        return customers.select(
             name.alias("username"),
             F.when(number % 31 == 0, "").otherwise(F.col("c_name")).alias("password"),
             F.lit("customer").alias("firstname"),

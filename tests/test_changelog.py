@@ -96,7 +96,7 @@ def test_affiliation_changes_across_chunks(spark):
     log = [("u", rng.choice("xyz"), t, t) for t in range(60)] + [("v", "x", 5, 100), ("ghost", "x", 1, 101)]
     users = spark.createDataFrame([("u", "x"), ("v", "x")], "username string, affiliation string")
     frame = spark.createDataFrame(log, "username string, affiliation string, timestamp bigint, seq bigint")
-    got = [(r.posterusername, r.timestamp, r.content) for r in changelog.affiliation_events(frame, users, chunk_ms=7).collect()]
+    got = [(r.posterusername, r.timestamp, r.content) for r in changelog.affiliation_events(frame, users).collect()]
     current, want = "x", []
     for _, value, t, _ in log[:60]:
         if value != current:
