@@ -13,7 +13,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 import oracle_queries
 from rookery.functions.scalar import display_time
 from rookery.operators import changelog, chat, feeds, graph, people, ranking, search
-from rookery.operators.adsorption import Adsorption, initial_labels, run_adsorption
+from rookery.operators.adsorption import (
+    MAX_ITER,
+    TOLERANCE,
+    Adsorption,
+    initial_labels,
+    run_adsorption,
+)
 from rookery.plans.recommend import refresh, store_refresh
 from rookery.plans.scratch import Scratch
 from rookery.schemas import KEYWORD_INDEX
@@ -64,19 +70,22 @@ def _dated(df: DataFrame) -> DataFrame:
 
 def _labels(t: SampleTables, rounds: int, tol: float | None = None) -> DataFrame:
     """Labels that count: a node's labels sum to 1, so at most 100 of each node."""
-    labels = _propagated(t, rounds, tol).labels
-    return _rounded(labels.where(F.col("weight") > ranking.MIN_WEIGHT))
+    return _rounded(_propagated(t, rounds, tol).heavier(ranking.MIN_WEIGHT))
+
+
+def _article_labels(t: SampleTables, source_filter: bool = True) -> DataFrame:
+    """Labels on articles, heavy enough to score, after propagation to convergence."""
+    return _propagated(t, MAX_ITER, TOLERANCE, source_filter).heavier(ranking.MIN_WEIGHT, "article")
 
 
 def _scores(t: SampleTables) -> DataFrame:
     """The stored score table, as page reads see it."""
-    scores = ranking.score_articles(_propagated(t, 3).labels, _filtered(t), AS_OF)
+    scores = ranking.score_articles(_article_labels(t), _filtered(t), AS_OF)
     return Scratch(t.spark, "scores").save(scores, "scores")
 
 
 def _unfiltered_scores(t: SampleTables) -> DataFrame:
-    labels = _propagated(t, 2, source_filter=False).labels
-    return ranking.score_articles(labels, t.articles, AS_OF)
+    return ranking.score_articles(_article_labels(t, source_filter=False), t.articles, AS_OF)
 
 
 def _recs(t: SampleTables) -> DataFrame:
@@ -231,8 +240,7 @@ def _scheduled_refresh(t: SampleTables) -> DataFrame:
 def entry(spark: SparkSession) -> DataFrame:
     """Article scores of every user after propagation to convergence."""
     t = SampleTables(spark, FLAGSHIP_DIR)
-    labels = _propagated(t, 15, 0.05).labels
-    return _rounded(ranking.score_articles(labels, _filtered(t), AS_OF))
+    return _rounded(ranking.score_articles(_article_labels(t), _filtered(t), AS_OF))
 
 
 def _position(df: DataFrame, name: str) -> DataFrame:
@@ -271,7 +279,7 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "initial_labels": lambda t: initial_labels(t.usernames),
     "adsorption_2": lambda t: _labels(t, 2),
     "adsorption_3": lambda t: _labels(t, 3),
-    "adsorption_converged": lambda t: _labels(t, 15, 0.05),
+    "adsorption_converged": lambda t: _labels(t, MAX_ITER, TOLERANCE),
     "article_scores": lambda t: _dated(_rounded(_scores(t))),
     "article_scores_unfiltered": lambda t: _dated(_rounded(_unfiltered_scores(t))),
     "recommendations": lambda t: _dated(_rounded(_recs(t))),

@@ -195,8 +195,8 @@ recs AS (
 SCORE_COLUMNS = "username, link, author, category, date, round(weight, 6) AS weight"
 
 
-def _ranked(tail: str, *more: str, rounds: int = 3) -> str:
-    return _with(*_rounds(rounds, False), _scores(rounds), *more) + tail
+def _ranked(tail: str, *more: str) -> str:
+    return _with(*_rounds(15, True), _scores(15), *more) + tail
 
 
 def _plain(tail: str, *more: str) -> str:
@@ -332,7 +332,7 @@ def oracle_sql() -> dict[str, str]:
         "adsorption_converged": _with(*_rounds(15, True)) + LABELS.format(i=15),
         "article_scores": _ranked(f"SELECT {SCORE_COLUMNS} FROM scores"),
         "article_scores_unfiltered": _with(
-            *_rounds(2, False, "all_articles"), _scores(2, "all_articles")
+            *_rounds(15, True, "all_articles"), _scores(15, "all_articles")
         )
         + f"SELECT {SCORE_COLUMNS} FROM scores",
         "recommendations": _ranked(f"SELECT {SCORE_COLUMNS} FROM recs", RECS),
@@ -346,9 +346,9 @@ def oracle_sql() -> dict[str, str]:
             RECS,
             LIKE_BALANCE,
         ),
-        "scheduled_refresh": _with(*_rounds(15, True), _scores(15), RECS) + f"SELECT {SCORE_COLUMNS} FROM recs",
-        "stored_scores": _with(*_rounds(15, True), _scores(15)) + f"SELECT {SCORE_COLUMNS} FROM scores",
-        "stored_recommendations": _with(*_rounds(15, True), _scores(15), RECS) + f"SELECT {SCORE_COLUMNS} FROM recs",
+        "scheduled_refresh": _ranked(f"SELECT {SCORE_COLUMNS} FROM recs", RECS),
+        "stored_scores": _ranked(f"SELECT {SCORE_COLUMNS} FROM scores"),
+        "stored_recommendations": _ranked(f"SELECT {SCORE_COLUMNS} FROM recs", RECS),
         # text and search
         "keyword_index": _plain("SELECT * FROM index_words"),
         "stored_keyword_index": _plain("SELECT * FROM index_words"),

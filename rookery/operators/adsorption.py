@@ -7,23 +7,27 @@ leaves the graph, own label included.
 
 How a round is laid out:
 
-* Only non-zero labels are stored, as ``(node, label, mass, before)`` with integer
-  ids. ``mass`` is the unscaled sum and ``before`` the scaled value of the round
-  before, so the stop test needs no join of old and new labels.
+* Users are numbered without gaps, and a node's labels are packed by label number: one
+  row holds the non-zero weights of up to ``packed.CHUNK`` labels. A round moves rows,
+  not single labels, and adds them up inside tasks before and after the shuffle.
 * A node's scale is known without reading the labels: scaled labels sum to 1, so a
   node receives exactly the weight of its edges from nodes that carry labels, plus
-  what the own-label lift adds. Scaling is folded into the edge weights.
+  what the own-label lift adds.
+* Each staying node also sends its scaled vector to itself, so the stop test needs no join
+  of old and new labels. Own labels are columns of their own: one that moved settles the
+  test without reading the vectors.
 * Non-user nodes whose only in-edge comes from the same source have equal labels in
   every round (the many articles nobody liked), so one of them stands for all.
-* Labels and edges shuffle by source. The edges of a source with more than ``fan_limit``
-  of them are dealt over as many salts as it takes, and only such a source's labels are
-  copied, once per salt. How the list of these sources joins is left to the session.
+* Arcs travel as lists of at most about ``fan_limit`` targets. A source with more of them
+  is dealt over as many salts as it takes, and its vectors are copied once per salt.
 """
 
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rookery.operators import packed
+from rookery.operators.ordered import positions
 from rookery.plans.scratch import Scratch
 
 # Node type codes in the two low bits of an id.
@@ -31,20 +35,7 @@ TYPE_CODES = {"user": 0, "category": 1, "article": 2}
 
 MAX_ITER = 15
 TOLERANCE = 0.05
-FAN_LIMIT = 1 << 18
-
-
-@dataclass
-class Adsorption:
-    """Final labels ``(node_type, node, label, weight)`` and how the run ended.
-
-    The labels are read from ``scratch``; closing it ends them.
-    """
-
-    labels: DataFrame
-    rounds: int
-    converged: bool
-    scratch: Scratch
+FAN_LIMIT = 1 << 10
 
 
 def _kind(id_column: str) -> Column:
@@ -71,27 +62,28 @@ class _Graph:
 
     def __init__(self, edges: DataFrame, users: DataFrame, scratch: Scratch, fan_limit: int):
         edges = scratch.save(edges, "given")
-        self.names = scratch.save(self._number(edges, users), "names")
+        self.names = scratch.save(self._number(edges, users, scratch), "names")
         coded = scratch.save(self._encode(edges), "coded")
         self.twins = scratch.save(self._twins(coded), "twins")
         self.edges = scratch.save(self._merge(coded), "edges")
         self.hot = self._hot_sources(scratch, self.edges, fan_limit)
 
     @staticmethod
-    def _number(edges: DataFrame, users: DataFrame) -> DataFrame:
-        """Give every node of the label set an id; unknown users are not in the set."""
-        node_sets = (
-            users.select(F.lit("user").alias("node_type"), F.col("username").alias("name"))
-            .unionByName(edges.select(F.col("src_type").alias("node_type"), F.col("src").alias("name")))
-            .unionByName(
-                edges.where("dst_type <> 'user'").select(
-                    F.col("dst_type").alias("node_type"), F.col("dst").alias("name")
-                )
-            )
-            .distinct()
+    def _number(edges: DataFrame, users: DataFrame, scratch: Scratch) -> DataFrame:
+        """Give every node of the label set an id; unknown users are not in the set.
+
+        The ids of users are four times their gapless label numbers.
+        """
+        senders = edges.select(F.col("src_type").alias("node_type"), F.col("src").alias("name"))
+        receivers = edges.select(F.col("dst_type").alias("node_type"), F.col("dst").alias("name"))
+        names = users.select(F.col("username").alias("name")).unionByName(
+            senders.where("node_type = 'user'").select("name")
         )
-        return node_sets.withColumn(
-            "id", F.monotonically_increasing_id() * 4 + _type_code("node_type")
+        numbered = positions(scratch.save(names.distinct(), "users"), ["name"], scratch, "numbered")
+        people = numbered.select(F.lit("user").alias("node_type"), "name", ((F.col("position") - 1) * 4).alias("id"))
+        others = senders.unionByName(receivers).where("node_type <> 'user'").distinct()
+        return people.unionByName(
+            others.withColumn("id", F.monotonically_increasing_id() * 4 + _type_code("node_type"))
         )
 
     def _encode(self, edges: DataFrame) -> DataFrame:
@@ -111,7 +103,7 @@ class _Graph:
     def _twins(coded: DataFrame) -> DataFrame:
         """(node, stand_in) for every non-user node that another node stands for.
 
-        They share one in-edge: same source, same weight, and no other.
+        They are of one type and share one in-edge: same source, same weight, and no other.
         """
         lone = (
             coded.where(_kind("dst") != TYPE_CODES["user"])
@@ -119,8 +111,9 @@ class _Graph:
             .agg(F.count("*").alias("n"), F.min("src").alias("src"), F.min("w").alias("w"))
             .where("n = 1")
         )
-        leader = lone.groupBy("src", "w").agg(F.min("node").alias("stand_in"))
-        return lone.join(leader, ["src", "w"]).where("node <> stand_in").select("node", "stand_in")
+        lone = lone.withColumn("kind", _kind("node"))
+        leader = lone.groupBy("src", "w", "kind").agg(F.min("node").alias("stand_in"))
+        return lone.join(leader, ["src", "w", "kind"]).where("node <> stand_in").select("node", "stand_in")
 
     def _merge(self, coded: DataFrame) -> DataFrame:
         kept = coded.join(self.twins.select(F.col("node").alias("dst")), "dst", "left_anti")
@@ -133,16 +126,18 @@ class _Graph:
         fans = edges.groupBy("src").agg(F.count("*").alias("n")).where(F.col("n") > fan_limit)
         return scratch.save(fans.select("src", F.ceil(F.col("n") / fan_limit).alias("salts")), "hot")
 
-    def salted(self, labels: DataFrame, arcs: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
-        """Both sides of the label-edge join, and its key columns.
-
-        A hot source's edges are dealt over its salts and its labels copied to each.
-        """
+    def salted(self, vectors: DataFrame) -> DataFrame:
+        """The vectors of a hot source once for each of its salts."""
         salts = F.coalesce("salts", F.lit(1).cast("bigint"))
-        dealt = arcs.join(self.hot, "src", "left").withColumn("salt", F.pmod(F.xxhash64("dst"), salts))
         every = F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))
-        copied = labels.join(self.hot, "src", "left").withColumn("salt", every)
-        return copied.drop("salts"), dealt.drop("salts"), ["src", "salt"]
+        return vectors.join(self.hot, "src", "left").withColumn("salt", every).drop("salts")
+
+    def arc_lists(self, edges: DataFrame) -> DataFrame:
+        """(src, salt, targets, shares): the arcs of a source, dealt over its salts."""
+        salts = F.coalesce("salts", F.lit(1).cast("bigint"))
+        dealt = edges.join(self.hot, "src", "left").withColumn("salt", F.pmod(F.xxhash64("dst"), salts))
+        lists = dealt.groupBy("src", "salt").agg(F.collect_list(F.struct("dst", "w")).alias("arcs"))
+        return lists.select("src", "salt", F.col("arcs.dst").alias("targets"), F.col("arcs.w").alias("shares"))
 
 
 def _arriving(graph: _Graph, nodes: DataFrame) -> DataFrame:
@@ -163,53 +158,81 @@ def _live_edges(graph: _Graph, nodes: DataFrame, arriving: DataFrame) -> DataFra
     )
 
 
+def _start(graph: _Graph) -> DataFrame:
+    """Each user's vector before the first round: the own label with weight 1."""
+    own = graph.names.where(_kind("id") == TYPE_CODES["user"]).select("id")
+
+    def rows(batches):
+        for batch in batches:
+            yield packed.own_labels(batch.column("id").to_numpy())
+
+    return own.mapInArrow(rows, packed.LABELS)
+
+
 def propagate_step(
-    graph: _Graph, edges: DataFrame, labels: DataFrame, nodes: DataFrame, staying: DataFrame | None
+    graph: _Graph, arcs: DataFrame, labels: DataFrame, nodes: DataFrame, staying: DataFrame | None
 ) -> DataFrame:
-    """One round of label flow over the live ``edges``: ``(node, label, mass, before, own)``.
+    """One round of label flow over the live ``arcs``: packed vectors, own labels lifted.
 
     ``nodes(node, total)`` are the nodes in play with their scale; ``staying`` those
-    that remain, None when all do. Each staying node also has an arc to itself, which
-    moves no mass but carries its scaled value along for the stop test, and keeps the
-    own label of a user alive.
+    that remain, None when all do. A vector that stays also goes along unchanged.
     """
-    scaled = nodes.where("total > 0")
-    flow = edges.join(scaled.withColumnRenamed("node", "src"), "src").select(
-        "src", "dst", (F.col("w") / F.col("total")).alias("w")
-    )
-    kept = scaled if staying is None else scaled.join(staying.select("node"), "node", "left_semi")
-    stay = kept.select(
-        F.col("node").alias("src"), F.col("node").alias("dst"), (1.0 / F.col("total")).alias("w")
-    )
-    zero = F.lit(0.0)
-    arcs = flow.withColumn("keep", zero).unionByName(
-        stay.select("src", "dst", zero.alias("w"), F.col("w").alias("keep"))
-    )
-    current = labels.where("mass > 0").select(F.col("node").alias("src"), "label", "mass")
-    # a shuffled join on both sides: labels outgrow their file size once decoded, each
-    # meets many arcs, and only shuffled sides let the session split skewed partitions
-    current, arcs, keys = graph.salted(current, arcs)
-    met = current.join(arcs.hint("merge"), keys)
-    received = (
-        met.groupBy(F.col("dst").alias("node"), "label")
-        .agg(
-            F.sum(F.col("mass") * F.col("w")).alias("mass"),
-            F.sum(F.col("mass") * F.col("keep")).alias("before"),
-        )
-    )
-    return received.withColumn("own", F.col("node") == F.col("label"))
+    vectors = labels.select("node", "chunk", "places", "mass").join(nodes.where("total > 0"), "node")
+    if staying is None:
+        vectors = vectors.withColumn("stays", F.lit(True))
+    else:
+        remaining = staying.select("node", F.lit(True).alias("remains"))
+        vectors = vectors.join(remaining, "node", "left").withColumn("stays", F.col("remains").isNotNull())
+    sent = graph.salted(vectors.withColumnRenamed("node", "src")).join(arcs, ["src", "salt"], "left")
+    stays = F.col("stays") & (F.col("salt") == 0)
+    sent = sent.select("src", "chunk", "places", "mass", "total", stays.alias("stays"), "targets", "shares")
+    partial = sent.mapInArrow(packed.spread, packed.PARTIAL)
+    grouped = partial.repartition("node", "chunk").sortWithinPartitions("node", "chunk")
+    return grouped.mapInArrow(packed.gather, packed.LABELS)
+
+
+def _own_moved(labels: DataFrame, nodes: DataFrame, tol: float) -> DataFrame:
+    """Users whose own scaled weight changed by more than ``tol`` in this round."""
+    own = labels.where("own is not null").select("node", "own", "own_before")
+    change = F.abs(F.greatest("own", F.lit(1.0)) / F.col("total") - F.col("own_before"))
+    return own.join(nodes, "node").where(change > tol)
+
 
+def _moved(labels: DataFrame, nodes: DataFrame, tol: float) -> DataFrame:
+    """Nodes of which some scaled weight changed by more than ``tol`` in this round."""
+    scaled = labels.select("node", "mass", "before").join(nodes, "node")
+    return scaled.mapInArrow(lambda batches: packed.moved(batches, tol), "node bigint")
 
-def _lifted(labels: DataFrame) -> DataFrame:
-    """Own labels count at least 1."""
-    mass = F.when(F.col("own"), F.greatest("mass", F.lit(1.0))).otherwise(F.col("mass"))
-    return labels.withColumn("mass", mass)
 
+@dataclass
+class Adsorption:
+    """How a run ended, and its labels.
 
-def _moved(labels: DataFrame, nodes: DataFrame, tol: float) -> DataFrame:
-    """Labels whose scaled weight changed by more than ``tol`` in this round."""
-    scaled = F.when(F.col("total") > 0, F.col("mass") / F.col("total")).otherwise(0.0)
-    return _lifted(labels).join(nodes, "node").where(F.abs(scaled - F.col("before")) > tol)
+    They are read from ``scratch``; closing it ends them.
+    """
+
+    graph: _Graph
+    vectors: DataFrame
+    nodes: DataFrame
+    rounds: int
+    converged: bool
+    scratch: Scratch
+
+    @property
+    def labels(self) -> DataFrame:
+        """All non-zero labels ``(node_type, node, label, weight)``."""
+        return self.heavier(0.0)
+
+    def heavier(self, min_weight: float, node_type: str | None = None) -> DataFrame:
+        """Labels above a weight, of one type of node if named; no other ever becomes a row."""
+        vectors = self.vectors.select("node", "chunk", "places", "mass")
+        if node_type is not None:
+            vectors = vectors.where(_kind("node") == TYPE_CODES[node_type])
+        scaled = vectors.join(self.nodes.where("total > 0"), "node")
+        weighed = scaled.mapInArrow(
+            lambda batches: packed.unpacked(batches, min_weight), "node bigint, label bigint, weight double"
+        )
+        return _named(self.graph, weighed)
 
 
 def run_adsorption(
@@ -231,12 +254,9 @@ def run_adsorption(
     ids = graph.names.select(F.col("id").alias("node"), is_user.alias("user"))
     standing = ids.join(graph.twins.select("node"), "node", "left_anti")
     nodes = standing.select("node", F.when(F.col("user"), 1.0).otherwise(0.0).alias("total"))
-    start = ids.where("user").select(
-        "node", F.col("node").alias("label"), F.lit(1.0).alias("mass"), F.lit(1.0).alias("before"), F.lit(True).alias("own")
-    )
 
-    labels, rounds, converged = start, 0, False
-    arriving, live, in_play, all_carry, settled = None, None, None, False, False
+    labels, rounds, converged = _start(graph), 0, False
+    arriving, arcs, in_play, all_carry, settled = None, None, None, False, False
     while rounds < max_iter and not converged:
         rounds += 1
         if not settled:
@@ -248,53 +268,39 @@ def run_adsorption(
             all_carry = carriers == in_play
             # nobody left and every sender had labels: all later rounds see the same
             settled = in_play == before and carried
-            live = _live_edges(graph, nodes, arriving)
+            arcs = graph.arc_lists(_live_edges(graph, nodes, arriving))
             if settled:
-                live = scratch.save(live, "live")
+                arcs = scratch.save(arcs, "arcs")
         labels = scratch.save(
-            propagate_step(graph, live, _lifted(labels), nodes, None if settled else arriving),
-            f"labels_{rounds}",
-            ("own",),
+            propagate_step(graph, arcs, labels, nodes, None if settled else arriving), f"labels_{rounds}"
         )
-        lift = F.greatest(F.lit(1.0) - F.col("mass"), F.lit(0.0))
-        own = labels.where("own").select("node", lift.alias("lift"))
-        nodes = arriving.join(own, "node", "left").select(
+        lift = F.greatest(F.lit(1.0) - F.col("own"), F.lit(0.0))
+        own = labels.where("own is not null").select("node", lift.alias("lift"))
+        totals = arriving.join(own, "node", "left").select(
             "node", (F.col("base") + F.coalesce("lift", F.lit(0.0))).alias("total")
         )
+        nodes = scratch.save(totals, f"nodes_{rounds}")
         if tol is not None and rounds < max_iter:
-            # a changed own label settles the question without reading the others
-            converged = (
-                _moved(labels.where("own"), nodes, tol).isEmpty()
-                and _moved(labels, nodes, tol).isEmpty()
-            )
+            converged = _own_moved(labels, nodes, tol).isEmpty() and _moved(labels, nodes, tol).isEmpty()
         if rounds > 1:
             scratch.drop(f"labels_{rounds - 1}")
+            scratch.drop(f"nodes_{rounds - 1}")
 
-    return Adsorption(_decode(graph, labels, nodes), rounds, converged, scratch)
+    return Adsorption(graph, labels, nodes, rounds, converged, scratch)
 
 
-def _decode(graph: _Graph, labels: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Scaled non-zero labels by name, with stand-ins expanded to the nodes they stand for."""
-    weighed = (
-        _lifted(labels)
-        .where("mass > 0")
-        .join(nodes.where("total > 0"), "node")
-        .select("node", "label", (F.col("mass") / F.col("total")).alias("weight"))
-    )
+def _named(graph: _Graph, weighed: DataFrame) -> DataFrame:
+    """Labels by name, with stand-ins expanded to the nodes they stand for."""
     members = graph.names.join(
         graph.twins.withColumnRenamed("node", "id"), "id", "left"
-    ).select(F.coalesce("stand_in", "id").alias("node"), F.col("name").alias("node_name"))
-    labelled = graph.names.select(F.col("id").alias("label"), F.col("name").alias("label_name"))
-    # the type comes from the id, so a filter on it reaches the scan of the labels
-    kind = F.col("node_kind")
-    node_type = F.when(kind == 0, "user").when(kind == 1, "category").otherwise("article")
+    ).select(F.coalesce("stand_in", "id").alias("node"), "node_type", F.col("name").alias("node_name"))
+    labelled = graph.names.where("node_type = 'user'").select(
+        F.expr("id div 4").alias("label"), F.col("name").alias("label_name")
+    )
     return (
-        weighed.withColumn("node_kind", _kind("node"))
-        .join(members, "node")
+        weighed.join(members, "node")
         .join(labelled, "label")
-        .select(
-            node_type.alias("node_type"), F.col("node_name").alias("node"), F.col("label_name").alias("label"), "weight"
-        )
+        .select("node_type", F.col("node_name").alias("node"), F.col("label_name").alias("label"), "weight")
     )
 
 

@@ -54,7 +54,7 @@ def refresh(
     run = run_adsorption(edges, tables.users, max_iter, tol)
     # written before anything is stored, since the seen table is read here and replaced then
     scratch = Scratch(edges.sparkSession, "refresh")
-    scores = scratch.save(score_articles(run.labels, articles, as_of, min_weight), "scores")
+    scores = scratch.save(score_articles(run.heavier(min_weight, "article"), articles, as_of, min_weight), "scores")
     run.scratch.close()
     recs = scratch.save(recommend(scores, tables.seen, as_of, seed), "recommendations")
     seen = scratch.save(update_seen(tables.seen, recs), "seen")
