@@ -20,10 +20,12 @@ from rookery.operators.adsorption import (
     initial_labels,
     run_adsorption,
 )
-from rookery.plans.recommend import refresh, store_refresh
+from rookery.plans.recommend import read_stored, refresh, store_refresh
 from rookery.plans.scratch import Scratch
 from rookery.schemas import KEYWORD_INDEX
 from rookery.sources import articles as corpus, sinks, tables
+from rookery.sources.bucketed import lookup_bucketed, store_bucketed
+from rookery.sources.chunked import FolderStore, write_chunked
 from rookery.sources.sample_tables import (
     AS_OF,
     SAMPLE_CATEGORIES,
@@ -31,6 +33,7 @@ from rookery.sources.sample_tables import (
     SampleTables,
 )
 from rookery.streaming import rules, tables as streams
+from rookery.streaming.refresh import refresh_on_changes
 
 try:  # the training-data operators are an optional part
     import rookery.llm.queries as llm_queries
@@ -41,6 +44,7 @@ except ModuleNotFoundError as missing:
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
 AS_OF_MS = 1705276800000  # midnight of AS_OF, UTC
+LOOKUP_BUCKETS = 8
 
 
 def _propagated(t: SampleTables, rounds: int, tol: float | None = None, source_filter: bool = True) -> Adsorption:
@@ -96,8 +100,14 @@ def _catalog(t: SampleTables) -> DataFrame:
     return sinks.build_article_catalog(t.articles)
 
 
+def _stored_catalog(t: SampleTables) -> DataFrame:
+    """The catalogue as pages read it: in buckets by link, so its texts stay where they are."""
+    path = Scratch(t.spark, "catalog").path("articles")
+    return t.spark.table(store_bucketed(_catalog(t), path, ["link"], LOOKUP_BUCKETS))
+
+
 def _liked_catalog(t: SampleTables) -> DataFrame:
-    return search.like_counts(_catalog(t), t.like_log)
+    return search.like_counts(_stored_catalog(t), t.like_log)
 
 
 def _walls(t: SampleTables) -> DataFrame:
@@ -123,15 +133,17 @@ def _seen_snapshot(t: SampleTables) -> DataFrame:
 
 
 def _stored_index(t: SampleTables) -> DataFrame:
-    path = Scratch(t.spark, "index").path("keywords")
-    sinks.write_keyword_index(search.build_keyword_index(t.articles, t.stopwords, stem_words=False), path)
-    return t.spark.read.schema(KEYWORD_INDEX).parquet(path)
+    """The index as stored in buckets by keyword, of which a join moves only the other side."""
+    index = search.build_keyword_index(t.articles, t.stopwords, stem_words=False)
+    table = store_bucketed(index, Scratch(t.spark, "index").path("keywords"), ["keyword"], LOOKUP_BUCKETS)
+    return t.spark.table(table)
 
 
 def _search(t: SampleTables, stem_words: bool) -> DataFrame:
-    index = search.build_keyword_index(t.articles, t.stopwords, stem_words)
-    hits = search.search_articles(t.queries, index, _scores(t), _liked_catalog(t), stem_words)
-    return _rounded(hits)
+    path = Scratch(t.spark, "index").path("postings")
+    search.store_postings(search.build_keyword_index(t.articles, t.stopwords, stem_words), path)
+    postings = search.read_postings(t.spark, path)
+    return _rounded(search.search_articles(t.queries, postings, _scores(t), _liked_catalog(t), stem_words))
 
 
 def _validity(t: SampleTables) -> DataFrame:
@@ -219,10 +231,10 @@ def _friends_scan(t: SampleTables) -> DataFrame:
 
 
 def _stopword_scan(t: SampleTables) -> DataFrame:
-    """Names of places as a stop-word file, one a line."""
+    """All plain words of the documents as a stop-word file, one a line."""
     path = Scratch(t.spark, "words").path("stopwords")
-    names = [t.source(n).select(F.lower(f"{n[0]}_name").alias("value")) for n in ("region", "nation")]
-    names[0].unionByName(names[1]).write.text(path)
+    words = t.source("documents").select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), 0)).alias("word"))
+    words.select(F.lower("word").alias("value")).distinct().write.text(path)
     return corpus.read_stopwords(t.spark, path)
 
 
@@ -230,7 +242,32 @@ def _stored_refresh(t: SampleTables, table: str) -> DataFrame:
     """A table that the refresh has stored, read back."""
     folder = Scratch(t.spark, "refreshed").path("tables")
     store_refresh(refresh(t.social, AS_OF), folder)
-    return _dated(_rounded(t.spark.read.parquet(f"{folder}/{table}")))
+    return _dated(_rounded(read_stored(t.spark, folder, table)))
+
+
+def _refresh_on_changes(t: SampleTables) -> DataFrame:
+    """The recommendations stored by the refresh that arriving interest changes start."""
+    scratch = Scratch(t.spark, "refreshed")
+    changes = t.interest_log_of(_event_stream(t))
+    query = refresh_on_changes(changes, lambda: t.social, lambda: AS_OF, scratch.path("tables"), scratch.path("offsets"))
+    query.awaitTermination()
+    return _dated(_rounded(read_stored(t.spark, scratch.path("tables"), "recommendations")))
+
+
+def _chunked_sink(t: SampleTables) -> DataFrame:
+    """Seen pairs through the chunked writer, into a store that takes 15 rows a call."""
+    path = Scratch(t.spark, "chunked").path("seen")
+    uri = path if "://" in path or path.startswith("file:") else f"file://{os.path.abspath(path)}"
+    write_chunked(t.seen, ["username", "link"], FolderStore(uri, capacity=15))
+    return t.spark.read.schema(t.seen.schema).parquet(f"{uri}/rows")
+
+
+def _user_lookup(t: SampleTables) -> DataFrame:
+    """Details of all friends, from accounts stored in buckets by name."""
+    path = Scratch(t.spark, "accounts").path("buckets")
+    accounts = t.users.select("username", "firstname", "lastname")
+    table = store_bucketed(accounts, path, ["username"], LOOKUP_BUCKETS)
+    return lookup_bucketed(t.spark, table, t.friends.select(F.col("username2").alias("username")))
 
 
 def _scheduled_refresh(t: SampleTables) -> DataFrame:
@@ -260,9 +297,8 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "stored_scores": lambda t: _stored_refresh(t, "scores"),
     "stored_recommendations": lambda t: _stored_refresh(t, "recommendations"),
     "article_catalog": _catalog,
-    "user_lookup": lambda t: tables.lookup(
-        t.users, "username", t.friends.select(F.col("username2").alias("username"))
-    ).select("username", "firstname", "lastname"),
+    "user_lookup": _user_lookup,
+    "chunked_sink": _chunked_sink,
     "seen_snapshot": _seen_snapshot,
     # filters
     "published_today": lambda t: _dated(corpus.published_on(t.articles, AS_OF)),
@@ -287,6 +323,7 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "unseen_scores": lambda t: _dated(_rounded(ranking.exclude_seen(_scores(t), t.seen))),
     "recommendation_page": lambda t: _dated(_rounded(search.recommendation_page(_recs(t), _liked_catalog(t)))),
     "scheduled_refresh": _scheduled_refresh,
+    "refresh_on_changes": _refresh_on_changes,
     # text and search
     "keyword_index": lambda t: search.build_keyword_index(t.articles, t.stopwords, stem_words=False),
     "stored_keyword_index": _stored_index,
@@ -295,7 +332,7 @@ QUERIES: dict[str, Callable[[SampleTables], DataFrame]] = {
     "search_ranked": lambda t: _search(t, stem_words=False),
     "search_ranked_stemmed": lambda t: _search(t, stem_words=True),
     "like_counts": _liked_catalog,
-    "liked_articles": lambda t: search.liked_articles(t.likes, _catalog(t)),
+    "liked_articles": lambda t: search.liked_articles(t.likes, _stored_catalog(t)),
     # feeds
     "home_feed": lambda t: feeds.home_feed(_walls(t), t.friends),
     "wall_feed": lambda t: feeds.wall_feed(_walls(t), t.friends, t.visits),

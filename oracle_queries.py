@@ -4,10 +4,10 @@ They follow the definitions literally (dense label matrix, plain joins), not the
 layout of the Spark plans.
 """
 
+from rookery.functions.porter import STEP_2, STEP_3, STEP_4
 from rookery.sources.sample_tables import (
     AS_OF,
     SAMPLE_CATEGORIES,
-    SEARCH_TEXTS,
     SIGNUP_CATEGORIES,
     STOP_WORDS,
 )
@@ -49,7 +49,7 @@ users AS (
 catalog AS (
   SELECT link, a.headline AS headline, a.category AS category, strftime(a.date, '%Y-%m-%d') AS date,
          a.author AS author, a.description AS description, CAST(0 AS BIGINT) AS likes
-  FROM (SELECT link, min({{'headline': headline, 'category': category, 'date': date, 'author': author,
+  FROM (SELECT link, min({{'headline': headline, 'category': category, 'author': author, 'date': date,
                           'description': description}}) AS a FROM all_articles GROUP BY link)),
 posts AS (SELECT username AS poster, pid, ms, props AS content, wall FROM evx WHERE t = 'view'),
 wallposts AS (
@@ -79,8 +79,8 @@ index_words AS (
     SELECT link, unnest(string_split(lower(regexp_replace(headline, '[[:punct:]]', '', 'g')), ' ')) AS w FROM all_articles)
   WHERE regexp_matches(w, '^\\p{{L}}+$') AND w NOT IN ({_strings(STOP_WORDS)})),
 queries AS (
-  SELECT u AS query_id, username, list_extract([{_strings(SEARCH_TEXTS)}], CAST(u AS INTEGER) + 1) AS text
-  FROM (SELECT DISTINCT u, username FROM ev WHERE u < {len(SEARCH_TEXTS)}))
+  SELECT u AS query_id, username, text
+  FROM (SELECT DISTINCT u, username FROM ev WHERE u % 100 = 0), sizes JOIN documents ON doc_id = u % d)
 """
 
 GRAPH = """
@@ -207,6 +207,96 @@ def _graph(tail: str) -> str:
     return _with(BASE, GRAPH.format(articles="articles")) + tail
 
 
+def _measure(shape: str) -> str:
+    return f"len(regexp_extract_all({shape}, 'v+c+'))"
+
+
+def _head(column: str, cut: int) -> str:
+    return f"left({column}, -{cut})"
+
+
+def _by_ending(rules: dict[str, str], least: int, cut: int | None = None) -> str:
+    """Replace the longest listed ending when what is left has more than ``least`` measures."""
+    cases = []
+    for ending in sorted(rules, key=len, reverse=True):
+        n = len(ending) if cut is None else min(cut, len(ending))
+        cases.append(
+            f"WHEN ends_with(w, '{ending}') THEN CASE WHEN {_measure(_head('s', n))} > {least} "
+            f"THEN {_head('w', n)} || '{rules[ending]}' ELSE w END"
+        )
+    return "CASE " + " ".join(cases) + " ELSE w END"
+
+
+# one letter per character: a vowel, or a consonant; y is a vowel after a consonant
+_SHAPE = """list_reduce(list_prepend('', string_split(w, '')), lambda t, ch: t || CASE
+    WHEN ch IN ('a', 'e', 'i', 'o', 'u') OR (ch = 'y' AND ends_with(t, 'c')) THEN 'v' ELSE 'c' END)"""
+_SHORT = "ends_with({s}, 'cvc') AND right({w}, 1) NOT IN ('w', 'x', 'y')"
+
+STEM_STEPS = (
+    """CASE WHEN ends_with(w, 'sses') OR ends_with(w, 'ies') THEN left(w, -2)
+       WHEN ends_with(w, 's') AND NOT ends_with(w, 'ss') THEN left(w, -1) ELSE w END""",
+    # the marks say what is still to be done: 1 for a stripped past form
+    f"""CASE WHEN ends_with(w, 'eed') THEN CASE WHEN {_measure("left(s, -3)")} > 0 THEN left(w, -1) ELSE w END
+       WHEN ends_with(w, 'ed') AND contains(left(s, -2), 'v') THEN left(w, -2) || '1'
+       WHEN ends_with(w, 'ing') AND contains(left(s, -3), 'v') THEN left(w, -3) || '1' ELSE w END""",
+    f"""CASE WHEN NOT ends_with(w, '1') THEN w
+       WHEN ends_with(w, 'at1') OR ends_with(w, 'bl1') OR ends_with(w, 'iz1') THEN left(w, -1) || 'e'
+       WHEN length(w) > 2 AND w[-2:-2] = w[-3:-3] AND ends_with(left(s, -1), 'c')
+         THEN CASE WHEN w[-2:-2] NOT IN ('l', 's', 'z') THEN left(w, -2) ELSE CASE
+           WHEN {_measure("left(s, -1)")} = 1 AND {_SHORT.format(s="left(s, -1)", w="left(w, -1)")} THEN left(w, -1) || 'e' ELSE left(w, -1) END END
+       WHEN {_measure("left(s, -1)")} = 1 AND {_SHORT.format(s="left(s, -1)", w="left(w, -1)")} THEN left(w, -1) || 'e'
+       ELSE left(w, -1) END""",
+    "CASE WHEN ends_with(w, 'y') AND contains(left(s, -1), 'v') THEN left(w, -1) || 'i' ELSE w END",
+    _by_ending(STEP_2, 0),
+    _by_ending(STEP_3, 0),
+    "CASE "
+    + " ".join(
+        f"WHEN ends_with(w, '{e}') THEN CASE WHEN {_measure(_head('s', n))} > 1 THEN {_head('w', n)} ELSE w END"
+        for e in sorted(STEP_4, key=len, reverse=True)
+        for n in [3 if e in ("sion", "tion") else len(e)]
+    )
+    + " ELSE w END",
+    f"""CASE WHEN ends_with(w, 'e') AND ({_measure("left(s, -1)")} > 1 OR ({_measure("left(s, -1)")} = 1
+         AND NOT ({_SHORT.format(s="left(s, -1)", w="left(w, -1)")}))) THEN left(w, -1) ELSE w END""",
+    f"CASE WHEN ends_with(w, 'll') AND {_measure('s')} > 1 THEN left(w, -1) ELSE w END",
+)
+
+
+def _stems() -> list[str]:
+    """CTEs that end in stems(word, stem) for all words of the index and the queries."""
+    parts = [
+        """vocabulary AS (SELECT keyword AS word FROM index_words
+           UNION SELECT unnest(string_split(lower(text), ' ')) FROM queries)""",
+        f"stem0 AS (SELECT word, w, {_SHAPE} AS s FROM (SELECT word, word AS w FROM vocabulary WHERE length(word) > 2))",
+    ]
+    for k, step in enumerate(STEM_STEPS, 1):
+        parts.append(f"stem{k} AS (SELECT word, w, {_SHAPE} AS s FROM (SELECT word, {step} AS w FROM stem{k - 1}))")
+    last = len(STEM_STEPS)
+    parts.append(f"stems AS (SELECT word, w AS stem FROM stem{last} UNION ALL SELECT word, word FROM vocabulary WHERE length(word) < 3)")
+    parts.append("stemmed_words AS (SELECT DISTINCT stem AS keyword, link FROM index_words JOIN stems ON word = keyword)")
+    return parts
+
+
+def _searched(index: str, stem: str) -> str:
+    """Ranked hits of all queries over an index table; ``stem`` maps a query word."""
+    return _ranked(
+        """SELECT h.*, c.headline, c.author, c.date, c.description, c.category, coalesce(b.likes, 0) AS likes
+           FROM placed h LEFT JOIN catalog c ON c.link = h.link LEFT JOIN balance b ON b.link = h.link""",
+        LIKE_BALANCE,
+        *_stems(),
+        f"""
+hits AS (
+  SELECT query_id, username, link, count(*) AS keyword_count
+  FROM (SELECT query_id, username, {stem} AS keyword
+        FROM (SELECT query_id, username, unnest(string_split(lower(text), ' ')) AS asked FROM queries) LEFT JOIN stems ON word = asked) q
+  JOIN {index} USING (keyword) GROUP BY query_id, username, link),
+placed AS (
+  SELECT query_id, username, link, keyword_count, round(coalesce(weight, 0), 6) AS weight,
+    row_number() OVER (PARTITION BY query_id ORDER BY keyword_count DESC, round(coalesce(weight, 0), 9) DESC, link) AS position
+  FROM hits LEFT JOIN scores USING (username, link))""",
+    )
+
+
 CHANGES = f"""
 asked AS (
   SELECT username, CASE WHEN t = 'click' THEN 'add' ELSE 'delete' END AS action, 'SRC' || (k % 25) AS category, ms, e,
@@ -277,6 +367,14 @@ DELIVERIES = """SELECT m.room AS roomuniqueid, turn AS timestamp, sender, member
 LABELS = "SELECT t AS node_type, n AS node, u AS label, round(w, 6) AS weight FROM lab{i} WHERE w > 0.01"
 
 
+POST_TIES = "postuniqueid, posterusername, content, wallusername, flipped"
+STATUS_TIES = "postuniqueid, posterusername, content"
+
+
+def _placed(rows: str, reader: str, order: str) -> str:
+    return f"SELECT *, row_number() OVER (PARTITION BY {reader} ORDER BY {order}) AS position FROM ({rows})"
+
+
 STREAM_FORMS = {
     "stream_interest_changes": "interest_changes",
     "stream_signups": "validate_signups",
@@ -294,7 +392,7 @@ def oracle_sql() -> dict[str, str]:
             LEFT JOIN (SELECT username, string_agg(category, ',' ORDER BY category) AS interests FROM interests GROUP BY username) i USING (username)"""
         ),
         "friends_scan": _plain("SELECT username1, timestamp, username2 FROM friends"),
-        "stopword_scan": "SELECT DISTINCT name AS word FROM (SELECT lower(r_name) AS name FROM region UNION ALL SELECT lower(n_name) FROM nation)",
+        "stopword_scan": "SELECT DISTINCT lower(unnest(regexp_extract_all(text, '[A-Za-z]+'))) AS word FROM documents",
         "article_scan": _plain(
             "SELECT author, category, strftime(date + INTERVAL 48 MONTH, '%Y-%m-%d') AS date, headline, link, description FROM all_articles"
         ),
@@ -349,6 +447,8 @@ def oracle_sql() -> dict[str, str]:
         "scheduled_refresh": _ranked(f"SELECT {SCORE_COLUMNS} FROM recs", RECS),
         "stored_scores": _ranked(f"SELECT {SCORE_COLUMNS} FROM scores"),
         "stored_recommendations": _ranked(f"SELECT {SCORE_COLUMNS} FROM recs", RECS),
+        "refresh_on_changes": _ranked(f"SELECT {SCORE_COLUMNS} FROM recs", RECS),
+        "chunked_sink": _plain("SELECT username, link FROM seen"),
         # text and search
         "keyword_index": _plain("SELECT * FROM index_words"),
         "stored_keyword_index": _plain("SELECT * FROM index_words"),
@@ -357,42 +457,49 @@ def oracle_sql() -> dict[str, str]:
                  SELECT query_id, username, generate_subscripts(words, 1) AS pos, unnest(words) AS keyword
                  FROM (SELECT query_id, username, string_split(lower(text), ' ') AS words FROM queries))"""
         ),
-        "search_ranked": _ranked(
-            """SELECT h.query_id, h.username, h.link, h.keyword_count, round(coalesce(s.weight, 0), 6) AS weight,
-                 c.headline, c.author, c.date, c.description, c.category, coalesce(b.likes, 0) AS likes
-               FROM hits h LEFT JOIN scores s ON s.username = h.username AND s.link = h.link
-               LEFT JOIN catalog c ON c.link = h.link LEFT JOIN balance b ON b.link = h.link""",
-            LIKE_BALANCE,
-            """
-hits AS (
-  SELECT query_id, username, link, count(*) AS keyword_count
-  FROM (SELECT query_id, username, unnest(string_split(lower(text), ' ')) AS keyword FROM queries) q
-  JOIN index_words USING (keyword) GROUP BY query_id, username, link)""",
-        ),
+        "keyword_index_stemmed": _with(BASE, *_stems()) + "SELECT * FROM stemmed_words",
+        "search_ranked": _searched("index_words", "asked"),
+        "search_ranked_stemmed": _searched("stemmed_words", "stem"),
         "like_counts": _plain(
             "SELECT c.* REPLACE (coalesce(b.likes, 0) AS likes) FROM catalog c LEFT JOIN balance b USING (link)", LIKE_BALANCE
         ),
         "liked_articles": _plain("SELECT username, c.* FROM likes JOIN catalog c USING (link)"),
         # feeds
         "home_feed": _plain(
-            f"""SELECT username1 AS username, {POST} FROM friends f JOIN wallposts p ON posterusername = username2 AND wallusername = username2
-            UNION ALL
-            SELECT posterusername, {POST} FROM wallposts p JOIN friends f ON posterusername = username1 AND wallusername = username2
-            WHERE wallusername <> posterusername"""
+            _placed(
+                f"""SELECT username1 AS username, {POST} FROM friends f JOIN wallposts p ON posterusername = username2 AND wallusername = username2
+                UNION ALL
+                SELECT posterusername, {POST} FROM wallposts p JOIN friends f ON posterusername = username1 AND wallusername = username2
+                WHERE wallusername <> posterusername""",
+                "username",
+                f"timestamp DESC, {POST_TIES}",
+            )
         ),
         "wall_feed": _plain(
-            f"""SELECT viewer, owner, {POST} FROM visits v JOIN wallposts p ON v.owner = p.posterusername
-            WHERE (viewer = owner OR EXISTS (SELECT 1 FROM friends WHERE username1 = viewer AND username2 = owner))
-              AND (wallusername = owner OR (flipped AND EXISTS (
-                    SELECT 1 FROM friends WHERE username1 = owner AND username2 = wallusername)))"""
+            _placed(
+                f"""SELECT viewer, owner, {POST} FROM visits v JOIN wallposts p ON v.owner = p.posterusername
+                WHERE (viewer = owner OR EXISTS (SELECT 1 FROM friends WHERE username1 = viewer AND username2 = owner))
+                  AND (wallusername = owner OR (flipped AND EXISTS (
+                        SELECT 1 FROM friends WHERE username1 = owner AND username2 = wallusername)))""",
+                "viewer, owner",
+                f"timestamp DESC, {POST_TIES}",
+            )
         ),
         "status_feed": _plain(
-            "SELECT username1 AS username, posterusername, postuniqueid, p.timestamp, content FROM friends f JOIN statusposts p ON posterusername = username2"
+            _placed(
+                "SELECT username1 AS username, posterusername, postuniqueid, p.timestamp, content FROM friends f JOIN statusposts p ON posterusername = username2",
+                "username",
+                f"timestamp, {STATUS_TIES}",
+            )
         ),
-        "own_status": _plain("SELECT * FROM statusposts"),
+        "own_status": _plain(_placed("SELECT * FROM statusposts", "posterusername", f"timestamp DESC, {STATUS_TIES}")),
         "comment_threads": _plain(
-            """SELECT postuniqueid, timestamp, usernameofcommentor, min(content) AS content FROM comments
-            WHERE postuniqueid IN (SELECT postuniqueid FROM statusposts) GROUP BY postuniqueid, timestamp, usernameofcommentor"""
+            _placed(
+                """SELECT postuniqueid, timestamp, usernameofcommentor, min(content) AS content FROM comments
+                WHERE postuniqueid IN (SELECT postuniqueid FROM statusposts) GROUP BY postuniqueid, timestamp, usernameofcommentor""",
+                "postuniqueid",
+                "timestamp DESC, usernameofcommentor",
+            )
         ),
         "post_times": _plain(
             """SELECT postuniqueid, strftime(make_timestamp((timestamp // 1000) * 1000000) - INTERVAL 5 HOUR, '%-m/%-d/%Y, %-I:%M:%S %p') AS shown
@@ -448,16 +555,21 @@ hits AS (
         "participants": _plain("SELECT room AS roomuniqueid, member FROM membership"),
         "find_room": _plain(
             """SELECT group_id, member_key, roomuniqueid FROM (
-                 SELECT item_id AS group_id, CASE length(text) % 4 WHEN 0 THEN 'assistant__user' WHEN 1 THEN 'assistant__system__user'
-                        WHEN 2 THEN 'assistant__user' ELSE 'nobody__user' END AS member_key FROM benchmark) g
+                 SELECT room AS group_id, string_agg(member, '__' ORDER BY member) AS member_key FROM (
+                   SELECT room, member FROM membership WHERE room % 100 = 0
+                   UNION ALL SELECT DISTINCT room, 'nobody' FROM membership WHERE room % 300 = 0) GROUP BY room) g
                LEFT JOIN (SELECT key, min(room) AS roomuniqueid FROM (
                  SELECT room, string_agg(member, '__' ORDER BY member) AS key FROM membership GROUP BY room) GROUP BY key) r
                ON g.member_key = r.key"""
         ),
-        "chat_history": _plain(MESSAGES),
+        "chat_history": _plain(_placed(MESSAGES, "roomuniqueid", "timestamp, sender, content")),
         "direct_history": _plain(
-            """SELECT least(username, friend) || '__' || greatest(username, friend) AS conversation, ms AS timestamp,
-                 username AS fromuser, friend AS touser, props AS message FROM evx WHERE t = 'click'"""
+            _placed(
+                """SELECT least(username, friend) || '__' || greatest(username, friend) AS conversation, ms AS timestamp,
+                     username AS fromuser, friend AS touser, props AS message FROM evx WHERE t = 'click'""",
+                "conversation",
+                "timestamp, fromuser, message",
+            )
         ),
         "invitable_users": _plain(
             """SELECT m.room AS roomuniqueid, m.member AS username, username2 AS friend FROM user_rooms m JOIN friends ON username1 = m.member

@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame, functions as F
 
 from rookery.functions.scalar import conversation_key, member_key
+from rookery.operators.ordered import positions
+from rookery.plans.scratch import Scratch
 
 
 def _members(membership: DataFrame) -> DataFrame:
@@ -58,19 +60,22 @@ def find_room(membership: DataFrame, groups: DataFrame) -> DataFrame:
     )
 
 
+def _history(messages: DataFrame, group: str, order: list[str]) -> DataFrame:
+    """Messages with their ``position`` in their group, from 1; a busy group spreads over range parts."""
+    return positions(messages, [group, *order], Scratch(messages.sparkSession, "history"), "placed", per=[group])
+
+
 def chat_history(messages: DataFrame) -> DataFrame:
     """Messages of each room in time order, as rows."""
-    return messages.select("roomuniqueid", "timestamp", "sender", "content").orderBy(
-        "roomuniqueid", "timestamp", "sender", "content"
-    )
+    rows = messages.select("roomuniqueid", "timestamp", "sender", "content")
+    return _history(rows, "roomuniqueid", ["timestamp", "sender", "content"])
 
 
 def direct_history(messages: DataFrame) -> DataFrame:
     """Direct messages under the key of their two participants, in time order."""
     key = conversation_key(F.col("fromuser"), F.col("touser"))
-    return messages.select(
-        key.alias("conversation"), "timestamp", "fromuser", "touser", "message"
-    ).orderBy("conversation", "timestamp", "fromuser", "message")
+    rows = messages.select(key.alias("conversation"), "timestamp", "fromuser", "touser", "message")
+    return _history(rows, "conversation", ["timestamp", "fromuser", "message"])
 
 
 def invitable_users(friends: DataFrame, membership: DataFrame) -> DataFrame:

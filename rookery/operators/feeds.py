@@ -1,10 +1,17 @@
 """Walls, home pages, status feeds and comment threads.
 
-Feeds end in a global sort on (reader, time, id): range partitions split a reader
-with very many rows, which a per-reader window or list could not.
+A feed's rows carry ``position``, the place in the reader's order from 1. Positions are
+counted over range parts of (reader, time, id), so a reader with very many rows is no one
+task's; a poster with very many rows is salted before the rows fan out to readers.
 """
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
+
+from rookery.operators.ordered import positions
+from rookery.operators.salting import ROWS_PER_SALT, fan_out
+from rookery.plans.scratch import Scratch
 
 POST = ("posterusername", "postuniqueid", "timestamp", "content", "wallusername", "flipped")
 STATUS = ("posterusername", "postuniqueid", "timestamp", "content")
@@ -15,18 +22,25 @@ def _friend_pairs(friends: DataFrame) -> DataFrame:
     return friends.select("username1", "username2")
 
 
+def _placed(feed: DataFrame, reader: Sequence[str], first: Sequence[str | Column]) -> DataFrame:
+    """The feed with positions: ordered by ``first``, then by all other columns."""
+    scratch = Scratch(feed.sparkSession, "feed")
+    stored = scratch.save(feed, "rows")
+    rest = [c for c in feed.columns if c not in reader]
+    return positions(stored, [*reader, *first, *rest], scratch, "placed", per=reader)
+
+
 def _newest_first(feed: DataFrame, *reader: str) -> DataFrame:
-    return feed.orderBy(*reader, F.desc("timestamp"), "postuniqueid", "posterusername")
+    return _placed(feed, reader, [F.desc("timestamp"), "postuniqueid"])
 
 
-def home_feed(wallposts: DataFrame, friends: DataFrame) -> DataFrame:
+def home_feed(wallposts: DataFrame, friends: DataFrame, limit: int = ROWS_PER_SALT) -> DataFrame:
     """Friends' posts on their own walls, and the reader's rows about friends' walls."""
     pairs = _friend_pairs(friends)
     posts = wallposts.select(*POST)
+    readers = pairs.select(F.col("username1").alias("username"), F.col("username2").alias("posterusername"))
     on_own_wall = posts.where("wallusername = posterusername")
-    by_friends = pairs.join(on_own_wall, pairs["username2"] == on_own_wall["posterusername"]).select(
-        F.col("username1").alias("username"), *POST
-    )
+    by_friends = fan_out(on_own_wall, readers, "posterusername", ["postuniqueid"], limit).select("username", *POST)
     elsewhere = posts.where("wallusername <> posterusername")
     toward_friends = elsewhere.join(
         pairs,
@@ -63,21 +77,22 @@ def visible_walls(visits: DataFrame, friends: DataFrame) -> DataFrame:
     return own.unionByName(friendly)
 
 
-def wall_feed(wallposts: DataFrame, friends: DataFrame, visits: DataFrame) -> DataFrame:
+def wall_feed(
+    wallposts: DataFrame, friends: DataFrame, visits: DataFrame, limit: int = ROWS_PER_SALT
+) -> DataFrame:
     """The wall of each allowed visit, newest first; refused visits give no rows."""
     shown = wall_rows(wallposts, friends)
-    allowed = visible_walls(visits, friends)
-    feed = allowed.join(shown, allowed["owner"] == shown["posterusername"])
+    allowed = visible_walls(visits, friends).withColumn("posterusername", F.col("owner"))
+    feed = fan_out(shown, allowed, "posterusername", ["postuniqueid"], limit)
     return _newest_first(feed.select("viewer", "owner", *POST), "viewer", "owner")
 
 
-def status_feed(statusposts: DataFrame, friends: DataFrame) -> DataFrame:
+def status_feed(statusposts: DataFrame, friends: DataFrame, limit: int = ROWS_PER_SALT) -> DataFrame:
     """Status posts of all friends, oldest first."""
     pairs = _friend_pairs(friends)
-    feed = pairs.join(statusposts, pairs["username2"] == statusposts["posterusername"])
-    return feed.select(F.col("username1").alias("username"), *STATUS).orderBy(
-        "username", "timestamp", "postuniqueid"
-    )
+    readers = pairs.select(F.col("username1").alias("username"), F.col("username2").alias("posterusername"))
+    feed = fan_out(statusposts.select(*STATUS), readers, "posterusername", ["postuniqueid"], limit)
+    return _placed(feed.select("username", *STATUS), ["username"], ["timestamp", "postuniqueid"])
 
 
 def own_status(statusposts: DataFrame) -> DataFrame:
@@ -91,4 +106,4 @@ def comment_threads(posts: DataFrame, comments: DataFrame) -> DataFrame:
         .groupBy("postuniqueid", "timestamp", "usernameofcommentor")
         .agg(F.min("content").alias("content"))
     )
-    return thread.orderBy("postuniqueid", F.desc("timestamp"), "usernameofcommentor")
+    return _placed(thread, ["postuniqueid"], [F.desc("timestamp"), "usernameofcommentor"])

@@ -3,7 +3,7 @@
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from rookery.operators.adsorption import MAX_ITER, TOLERANCE, run_adsorption
 from rookery.operators.graph import social_graph
@@ -11,6 +11,7 @@ from rookery.operators.ranking import MIN_WEIGHT, recommend, score_articles, upd
 from rookery.plans.scratch import Scratch
 from rookery.sources.articles import published_by
 from rookery.sources.sinks import write_snapshot
+from rookery.sources.versions import VersionedTables
 
 
 @dataclass
@@ -61,10 +62,23 @@ def refresh(
     return Refresh(scores, recs, seen, run.rounds, run.converged, scratch)
 
 
+STORED = ("scores", "recommendations", "seen")
+
+
 def store_refresh(result: Refresh, folder: str) -> None:
-    """Replace the score, recommendation and seen tables, and drop the run's own copies."""
-    key = ["username", "link"]
-    write_snapshot(result.scores, f"{folder}/scores", key, cluster_by=key)
-    write_snapshot(result.recommendations, f"{folder}/recommendations", key, cluster_by=key)
-    result.seen.write.mode("overwrite").parquet(f"{folder}/seen")
+    """Replace the score, recommendation and seen tables at once, and drop the run's own copies.
+
+    A new version of all three is written, then published, so a reader never sees scores of
+    one refresh with recommendations of another, nor half a table.
+    """
+    store = VersionedTables(result.scores.sparkSession, folder)
+    version, key = store.current() + 1, ["username", "link"]
+    for table in STORED:
+        write_snapshot(getattr(result, table), store.path(table, version), key, cluster_by=key)
+    store.publish(version, STORED)
     result.scratch.close()
+
+
+def read_stored(spark: SparkSession, folder: str, table: str) -> DataFrame:
+    """A stored table as of the last whole refresh."""
+    return VersionedTables(spark, folder).read(table)

@@ -2,7 +2,8 @@
 
 Tables go to the folder named by ``spark.checkpoint.dir``, which every executor
 can reach, so a lost executor costs a re-read and never a recomputation. A session
-without that setting uses a folder below its warehouse.
+without that setting uses a folder below its warehouse, which on a cluster must not be a
+local one.
 """
 
 import uuid
@@ -12,7 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
+    if configured:
+        return configured.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    master = spark.conf.get("spark.master", "")
+    if warehouse.startswith(("file:", "/")) and not master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{warehouse.rstrip('/')}/_scratch"
 
 
 class Scratch:
@@ -39,5 +46,4 @@ class Scratch:
         self._delete(self._folder)
 
     def _delete(self, folder: str) -> None:
-        path = self._spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(path, True)
+        self._spark.range(0).write.mode("overwrite").parquet(folder)

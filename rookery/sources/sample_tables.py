@@ -14,12 +14,6 @@ from rookery.plans.recommend import SocialTables
 
 AS_OF = date(2024, 1, 15)
 
-# Search texts the users issue in turn, by user number.
-SEARCH_TEXTS = (
-    "anea with", "was that", "attion thanedble", "the eriner", "it was", "en des", "ist nicht",
-    "ing ing", "er nd", "que un",
-)
-
 # A short stop-word list for the four languages of the documents.
 STOP_WORDS = ("the", "of", "and", "to", "in", "is", "der", "die", "und", "de", "la", "le", "les", "el", "que")
 
@@ -304,12 +298,11 @@ class SampleTables:
 
     @cached_property
     def queries(self) -> DataFrame:
-        """The search texts, each issued once, by the user of the same number."""
-        texts = F.array(*[F.lit(t) for t in SEARCH_TEXTS])
-        return self.user_ids.where(F.col("user_id") < len(SEARCH_TEXTS)).select(
-            F.col("user_id").alias("query_id"),
-            self.username.alias("username"),
-            F.get(texts, F.col("user_id").cast("int")).alias("text"),
+        """Every user whose number divides by 100 asks for the whole text of a document."""
+        asking = self.user_ids.where(F.col("user_id") % 100 == 0)
+        texts = self.source("documents").select(F.col("doc_id").alias("asked"), "text")
+        return asking.withColumn("asked", F.col("user_id") % self.n_documents).join(texts, "asked").select(
+            F.col("user_id").alias("query_id"), self.username.alias("username"), "text"
         )
 
     @cached_property
@@ -353,15 +346,14 @@ class SampleTables:
 
     @cached_property
     def room_groups(self) -> DataFrame:
-        """Member groups to look up: one per benchmark item, sized by its text."""
-        groups = F.array(
-            F.array(F.lit("user"), F.lit("assistant")),
-            F.array(F.lit("user"), F.lit("system"), F.lit("assistant")),
-            F.array(F.lit("assistant"), F.lit("user"), F.lit("user")),
-            F.array(F.lit("nobody"), F.lit("user")),
-        )
-        pick = (F.length("text") % 4).cast("int")
-        return self.source("benchmark").select(F.col("item_id").alias("group_id"), F.get(groups, pick).alias("members"))
+        """Member groups to look up: those of every room whose number divides by 100.
+
+        Every third of them asks for one member more, who is in no room.
+        """
+        rooms = self.membership.where(F.col("roomuniqueid") % 100 == 0)
+        groups = rooms.groupBy(F.col("roomuniqueid").alias("group_id")).agg(F.collect_list("member").alias("members"))
+        stranger = F.when(F.col("group_id") % 300 == 0, F.array(F.lit("nobody"))).otherwise(F.array().cast("array<string>"))
+        return groups.withColumn("members", F.concat("members", stranger))
 
     @cached_property
     def direct_messages(self) -> DataFrame:

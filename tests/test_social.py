@@ -1,4 +1,4 @@
-from rookery.operators import chat, feeds, people
+from rookery.operators import chat, feeds, people, salting
 
 FRIENDS = [("a", 10, "b"), ("b", 10, "a"), ("a", 90, "c"), ("c", 90, "a")]
 USERS = [
@@ -33,8 +33,12 @@ def wallposts(spark):
     )
 
 
+def ordered(feed):
+    return sorted(feed.collect(), key=lambda r: r.position)
+
+
 def test_home_feed(spark):
-    feed = feeds.home_feed(wallposts(spark), friends(spark)).collect()
+    feed = ordered(feeds.home_feed(wallposts(spark), friends(spark)))
     # b's own post and a's row on b's wall; not a's own post, not b's post to d, not d's
     assert [r.content for r in feed if r.username == "a"] == ["b own", "a to b"]
     assert [r.content for r in feed if r.username == "b"] == ["a own", "a to b"]
@@ -42,7 +46,7 @@ def test_home_feed(spark):
 
 def test_wall_feed(spark):
     visits = spark.createDataFrame([("a", "b"), ("d", "b"), ("a", "a"), ("b", "a")], "viewer string, owner string")
-    feed = feeds.wall_feed(wallposts(spark), friends(spark), visits).collect()
+    feed = ordered(feeds.wall_feed(wallposts(spark), friends(spark), visits))
     seen = {}
     for r in feed:
         seen.setdefault((r.viewer, r.owner), []).append(r.content)
@@ -55,9 +59,9 @@ def test_status_feeds(spark):
         [("b", "1-b", 1, "one"), ("c", "0-c", 0, "zero"), ("a", "2-a", 2, "mine")],
         "posterusername string, postuniqueid string, timestamp bigint, content string",
     )
-    feed = feeds.status_feed(posts, friends(spark)).collect()
+    feed = ordered(feeds.status_feed(posts, friends(spark)))
     assert [r.content for r in feed if r.username == "a"] == ["zero", "one"]
-    assert [r.content for r in feeds.own_status(posts).collect()] == ["mine", "one", "zero"]
+    assert [(r.posterusername, r.position) for r in ordered(feeds.own_status(posts))] == [("a", 1), ("b", 1), ("c", 1)]
 
 
 def test_comment_threads(spark):
@@ -66,7 +70,7 @@ def test_comment_threads(spark):
         [("u", "p1", 1, "hi"), ("u", "p1", 1, "hi again"), ("v", "p1", 2, "yo"), ("u", "other", 3, "no")],
         "usernameofcommentor string, postuniqueid string, timestamp bigint, content string",
     )
-    got = [(r.postuniqueid, r.usernameofcommentor, r.content) for r in feeds.comment_threads(posts, comments).collect()]
+    got = [(r.postuniqueid, r.usernameofcommentor, r.content) for r in ordered(feeds.comment_threads(posts, comments))]
     assert got == [("p1", "v", "yo"), ("p1", "u", "hi")]
 
 
@@ -116,9 +120,28 @@ def test_messages(spark):
         [(1, 5, "b", "later"), (1, 2, "a", "first"), (2, 1, "c", "other")],
         "roomuniqueid bigint, timestamp bigint, sender string, content string",
     )
-    assert [r.content for r in chat.chat_history(messages).collect()] == ["first", "later", "other"]
+    assert [r.content for r in sorted(chat.chat_history(messages).collect(), key=lambda r: (r.roomuniqueid, r.position))] == [
+        "first", "later", "other"
+    ]
     membership = spark.createDataFrame([(1, "a"), (1, "b"), (1, "c"), (2, "c")], "roomuniqueid bigint, member string")
     sent = {(r.content, r.receiver) for r in chat.message_deliveries(messages, membership).collect()}
     assert sent == {("later", "a"), ("later", "c"), ("first", "b"), ("first", "c")}
     direct = spark.createDataFrame([("b", "a", 2, "two"), ("a", "b", 1, "one")], "fromuser string, touser string, timestamp bigint, message string")
     assert [(r.conversation, r.message) for r in chat.direct_history(direct).collect()] == [("a__b", "one"), ("a__b", "two")]
+
+
+def test_a_hot_poster_spreads_and_loses_no_row(spark, rows):
+    """A third of all posts are one user's, whom everybody reads."""
+    posts = [("hot", f"{i}-hot", i, f"p{i}") for i in range(300)] + [(f"u{i % 40}", f"{i}-u", i, "x") for i in range(600)]
+    statuses = spark.createDataFrame(posts, "posterusername string, postuniqueid string, timestamp bigint, content string")
+    pairs = [(f"u{i}", "hot") for i in range(40)] + [("hot", "u1"), ("u2", "u1")]
+    reading = spark.createDataFrame(pairs, "username1 string, username2 string")
+    plain = rows(feeds.status_feed(statuses, reading))
+    assert rows(feeds.status_feed(statuses, reading, limit=16)) == plain
+    assert len(plain) == 300 * 40 + 2 * 15
+    hot = salting.hot_keys(statuses, "posterusername", 16).collect()
+    assert [tuple(r) for r in hot] == [("hot", 19)]
+    walls = spark.createDataFrame([(*p, p[0], False) for p in posts], "posterusername string, postuniqueid string, timestamp bigint, content string, wallusername string, flipped boolean")
+    assert rows(feeds.home_feed(walls, reading, limit=16)) == rows(feeds.home_feed(walls, reading))
+    visits = spark.createDataFrame(pairs, "viewer string, owner string")
+    assert rows(feeds.wall_feed(walls, reading, visits, limit=16)) == rows(feeds.wall_feed(walls, reading, visits))
