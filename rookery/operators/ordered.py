@@ -72,3 +72,23 @@ def positions(
     joined = ranked.join(starts, matched)
     place = (F.col("_start") + F.col("_rank")).cast("bigint").alias(name)
     return joined.select(*[ranked[c] for c in rows.columns], place)
+
+
+def running_total(
+    parts: DataFrame, order: Sequence[str | Column], value: Column, name: str, per: Sequence[str] = ()
+) -> DataFrame:
+    """Adds the sum of a whole number over the rows up to this one, anew for each ``per`` value.
+
+    ``parts`` comes from ``range_parts`` with the same order. Sums run inside a part and a part
+    adds the totals of those before it.
+    """
+    group = [*per, "part"]
+    valued = parts.withColumn("_value", value.cast("bigint"))
+    totals = valued.groupBy(*group).agg(F.sum("_value").alias("_total"))
+    earlier = Window.partitionBy(*per).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(*group, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start"))
+    so_far = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = valued.withColumn("_sum", F.sum("_value").over(so_far))
+    joined = summed.join(starts, [summed[c].eqNullSafe(starts[c]) for c in group])
+    kept = [summed[c] for c in parts.columns if c != "part"]
+    return joined.select(*kept, (F.col("_start") + F.col("_sum")).cast("bigint").alias(name))

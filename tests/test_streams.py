@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rookery.operators import changelog
-from rookery.operators.ordered import positions, range_parts
+from rookery.operators.ordered import positions, range_parts, running_total
 from rookery.plans.scratch import Scratch
 from rookery.streaming import rules, tables as streams
 
@@ -161,3 +161,16 @@ def test_profile_and_membership_streams(spark, arriving, rows):
     schema = "roomuniqueid bigint, member string, action string, timestamp bigint, seq bigint"
     last = streams.run_upserts(streams.stream_membership(arriving([joined[:2], joined[2:]], schema)), ["roomuniqueid", "member"])
     assert rows(last.where("action = 'join'"), "roomuniqueid", "member") == [(1, "v"), (2, "u")]
+
+
+def test_running_totals(spark):
+    rng = random.Random(12)
+    data = [(rng.choice(["a", "b", None]), k, rng.randint(0, 9)) for k in range(300)]
+    rng.shuffle(data)
+    frame = spark.createDataFrame(data, "key string, t int, v int")
+    parts = range_parts(frame, ["key", "t"], Scratch(spark, "t"), "totals")
+    got = {r.t: r.total for r in running_total(parts, ["key", "t"], F.col("v"), "total", per=["key"]).collect()}
+    sums, want = {}, {}
+    for key, t, v in sorted(data, key=lambda r: r[1]):
+        want[t] = sums[key] = sums.get(key, 0) + v
+    assert got == want
