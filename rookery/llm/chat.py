@@ -2,10 +2,11 @@
 
 A log holds events of conversations: ``open`` (a message with its role), ``delta`` (more
 text), ``edit`` (new whole text) and ``regenerate`` (the message starts over). Events are
-partitioned by conversation and sorted by sequence; one streaming pass folds them into
-final messages, and a second renders messages with a template. Both passes hold one
-message and one output part, never a whole conversation, so their memory does not grow
-with its length; a long conversation is written in parts of about ``PART`` characters.
+cut into range parts by (conversation, sequence); counting the openings up to each event
+numbers the messages. Each message is folded by itself and rendered with a template, and
+messages are joined into parts of about ``PART`` characters. So a conversation with very
+many rows spreads over many tasks; only its digest reads its parts one after the other.
+No pass holds more than one message or one part.
 
 The template marks each turn with its role. Control strings inside texts are broken by a
 backslash after their first character and backslashes are doubled, so no control string
@@ -13,7 +14,7 @@ of the template survives inside a text and unescaping restores it exactly.
 
 Defined results: a null text or role is empty; rows of a conversation sort by turn (null
 first), then role, then text, and repeated rows are turns of their own; a null conv_id is a
-conversation of its own; events before the first ``open`` of a message are ignored; an
+conversation of its own; events before the first ``open`` of a conversation are ignored; an
 empty table gives an empty result; further columns are ignored.
 """
 
@@ -22,7 +23,10 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from rookery.operators.ordered import positions, range_parts, running_total
+from rookery.plans.scratch import Scratch
 
 # Control strings of the template and of its common relatives.
 CONTROLS = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|im_start|>", "<|im_end|>", "<|endoftext|>")
@@ -32,21 +36,28 @@ PIECE, PART = 512, 1 << 20
 
 _CONTROL = re.compile("|".join(map(re.escape, CONTROLS)))
 _ESCAPED = re.compile(r"\\(.)", re.S)
-_TURN = re.compile(r"<s>\[INST\] (.*?) \[/INST\] (.*?)</s>\n", re.S)
 
-FORMATTED = "conv_id long, part int, n_turns int, formatted string, mask array<struct<start:int,end:int>>"
+FORMATTED = "conv_id long, part long, n_turns int, formatted string, mask array<struct<start:int,end:int>>"
 
 
 def escape(text: str) -> str:
     return _CONTROL.sub(lambda m: m[0][0] + "\\" + m[0][1:], text.replace("\\", "\\\\"))
 
 
+def escaped(text: Column) -> Column:
+    """``escape`` as a column expression; no control string overlaps another."""
+    out = F.replace(text, F.lit("\\"), F.lit("\\\\"))
+    for control in CONTROLS:
+        out = F.replace(out, F.lit(control), F.lit(control[0] + "\\" + control[1:]))
+    return out
+
+
 def unescape(text: str) -> str:
-    return _ESCAPED.sub(r"\1", text)
+    return _ESCAPED.sub(r"\1", text) if "\\" in text else text
 
 
 def events_of_turns(turns: DataFrame) -> DataFrame:
-    """A log that ends in the given turns: (conv_id, turn, role, copy, seq, kind, payload).
+    """A log that ends in the given turns: (conv_id, place, seq, kind, payload).
 
     Texts arrive in deltas. An assistant's message first streams a draft that is
     regenerated; another role's message is posted once and then edited.
@@ -54,8 +65,8 @@ def events_of_turns(turns: DataFrame) -> DataFrame:
     rows = turns.select(
         "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
-    rows = rows.groupBy("conv_id", "turn", "role", "text").count()  # repeated rows are numbered
-    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("count").cast("int"))))
+    scratch = Scratch(turns.sparkSession, "turns")
+    rows = positions(rows, ["conv_id", "turn", "role", "text"], scratch, "placed", per=["conv_id"], name="place")
 
     def event(kind: str, payload):
         return F.struct(F.lit(kind).alias("kind"), payload.alias("payload"))
@@ -70,89 +81,96 @@ def events_of_turns(turns: DataFrame) -> DataFrame:
     log = F.when(learned, F.concat(start, draft, pieces)).otherwise(
         F.concat(start, F.array(event("delta", F.lit("…"))), F.array(event("edit", F.lit(""))), pieces)
     )
-    return rows.select("conv_id", "turn", "role", "text", "copy", F.posexplode(log).alias("seq", "e")).select(
-        "conv_id", "turn", "role", F.xxhash64("text").alias("tie"), "copy", "seq", "e.kind", "e.payload"
-    )
+    events = rows.select("conv_id", "place", F.posexplode(log).alias("seq", "e"))
+    return events.select("conv_id", "place", "seq", "e.kind", "e.payload")
 
 
-ORDER = ("turn", "role", "tie", "copy", "seq")
+ORDER = ("place", "seq")
 
 
 def _fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Sorted events to messages; the message in progress is carried over batches."""
-    conv, role, text, n, done = None, None, [], 0, []
-    known = False  # whether a conversation is in progress
-
-    def close():
-        if role is not None:
-            done.append((conv, n, role, "".join(text)))
+    key, role, text, done = None, None, [], []
+    names = ["conv_id", "n", "role", "text"]
 
     for batch in batches:
         ids, missing = batch["conv_id"], batch["conv_id"].isna()
-        for c, gap, kind, payload in zip(ids, missing, batch["kind"], batch["payload"], strict=True):
-            c = None if gap else int(c)
-            if not known or c != conv:
-                close()
-                known, conv, role, text, n = True, c, None, [], -1
+        for c, gap, n, kind, payload in zip(ids, missing, batch["n"], batch["kind"], batch["payload"], strict=True):
+            this = (None if gap else int(c), int(n))
+            if this != key:
+                if key is not None:
+                    done.append((*key, role, "".join(text)))
+                key, text = this, []
             if kind == "open":
-                close()
-                role, text, n = payload, [], n + 1
-            elif role is not None:
-                if kind == "delta":
-                    text.append(payload)
-                elif kind == "edit":
-                    text = [payload]
-                elif kind == "regenerate":
-                    text = []
+                role = payload
+            elif kind == "delta":
+                text.append(payload)
+            elif kind == "edit":
+                text = [payload]
+            elif kind == "regenerate":
+                text = []
         if done:
-            yield pd.DataFrame(done, columns=["conv_id", "n", "role", "text"]).astype({"conv_id": "Int64"})
+            yield pd.DataFrame(done, columns=names).astype({"conv_id": "Int64"})
             done.clear()
-    close()
-    if done:
-        yield pd.DataFrame(done, columns=["conv_id", "n", "role", "text"]).astype({"conv_id": "Int64"})
+    if key is not None:
+        yield pd.DataFrame([(*key, role, "".join(text))], columns=names).astype({"conv_id": "Int64"})
 
 
 def reconstruct(events: DataFrame, order: tuple[str, ...] = ORDER) -> DataFrame:
     """(conv_id, n, role, text): final messages, numbered from 0 in each conversation."""
+    scratch = Scratch(events.sparkSession, "events")
     wanted = events.select("conv_id", *order, "kind", F.coalesce("payload", F.lit("")).alias("payload"))
-    dealt = wanted.repartition("conv_id").sortWithinPartitions("conv_id", *order)
-    return dealt.select("conv_id", "kind", "payload").mapInPandas(_fold, "conv_id long, n int, role string, text string")
+    whole = ["conv_id", *order]
+    parts = range_parts(wanted, whole, scratch, "parts")
+    opened = running_total(parts, whole, F.when(F.col("kind") == "open", 1).otherwise(0), "opened", per=["conv_id"])
+    numbered = opened.where("opened > 0").withColumn("n", F.col("opened") - 1)
+    dealt = numbered.repartition("conv_id", "n").sortWithinPartitions("conv_id", "n", *order)
+    return dealt.select("conv_id", "n", "kind", "payload").mapInPandas(_fold, "conv_id long, n long, role string, text string")
 
 
-def _render(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    conv, part, turns, out, size, mask = None, 0, 0, [], 0, []
-    known = False
+def _join_turns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Sorted rendered turns to the rows of their parts."""
+    key, turns, out, size, mask = None, 0, [], 0, []
     names = ["conv_id", "part", "n_turns", "formatted", "mask"]
 
     def row():
-        return pd.DataFrame([(conv, part, turns, "".join(out), list(mask))], columns=names).astype({"conv_id": "Int64"})
+        return pd.DataFrame([(*key, turns, "".join(out), list(mask))], columns=names).astype({"conv_id": "Int64"})
 
     for batch in batches:
         missing = batch["conv_id"].isna()
-        for c, gap, role, text in zip(batch["conv_id"], missing, batch["role"], batch["text"], strict=True):
-            c = None if gap else int(c)
-            if known and (c != conv or size >= PART):
-                yield row()
-                part, turns, out, size, mask = (part + 1 if c == conv else 0), 0, [], 0, []
-            known, conv = True, c
-            head, body = OPEN + escape(role) + AFTER_ROLE, escape(text)
-            if role == LEARNED and body:
+        columns = (batch[c] for c in ("part", "head", "body", "learned"))
+        for c, gap, part, head, body, learned in zip(batch["conv_id"], missing, *columns, strict=True):
+            this = (None if gap else int(c), int(part))
+            if this != key:
+                if key is not None:
+                    yield row()
+                key, turns, out, size, mask = this, 0, [], 0, []
+            if learned and body:
                 mask.append({"start": size + len(head), "end": size + len(head) + len(body)})
             out += (head, body, CLOSE)
             size += len(head) + len(body) + len(CLOSE)
             turns += 1
-    if known:
+    if key is not None:
         yield row()
 
 
 def render(messages: DataFrame) -> DataFrame:
-    """Formatted parts of conversations, with the spans that a loss covers.
+    """Formatted parts of conversations in ascending order, with the spans that a loss covers.
 
-    ``mask`` spans count code points of ``formatted``, end exclusive; a part ends after a
-    whole turn.
+    ``mask`` spans count code points of ``formatted``, end exclusive. A part takes the turns
+    that begin in its ``PART`` characters of the conversation, all of them whole.
     """
-    dealt = messages.repartition("conv_id").sortWithinPartitions("conv_id", "n")
-    return dealt.select("conv_id", "role", "text").mapInPandas(_render, FORMATTED)
+    scratch = Scratch(messages.sparkSession, "messages")
+    head = F.concat(F.lit(OPEN), escaped(F.col("role")), F.lit(AFTER_ROLE))
+    turns = messages.select(
+        "conv_id", "n", head.alias("head"), escaped(F.col("text")).alias("body"), (F.col("role") == LEARNED).alias("learned")
+    )
+    parts = range_parts(scratch.save(turns, "turns"), ["conv_id", "n"], scratch, "parts")
+    size = F.length("head") + F.length("body") + len(CLOSE)
+    placed = running_total(parts, ["conv_id", "n"], size, "end", per=["conv_id"])
+    placed = placed.withColumn("part", F.floor((F.col("end") - size) / PART).cast("long"))
+    dealt = placed.repartition("conv_id", "part").sortWithinPartitions("conv_id", "part", "n")
+    return dealt.select("conv_id", "part", "head", "body", "learned").mapInPandas(_join_turns, FORMATTED)
 
 
 DIGESTS = (
@@ -160,7 +178,35 @@ DIGESTS = (
 )
 
 
-def _read_back(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+PARSED = "conv_id long, part long, n_turns long, turns string, loss string, chars long"
+
+
+def _turns_of(text: str) -> Iterator[tuple[str, str]]:
+    """(role, text) of each turn; a control string of the template never stands inside one."""
+    at = 0
+    while at < len(text):
+        role_end = text.find(AFTER_ROLE, at)
+        end = text.find(CLOSE, role_end)
+        if not text.startswith(OPEN, at) or role_end < 0 or end < 0:
+            raise ValueError("a formatted part does not parse")
+        yield unescape(text[at + len(OPEN) : role_end]), unescape(text[role_end + len(AFTER_ROLE) : end])
+        at = end + len(CLOSE)
+
+
+def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        rows = []
+        for text, mask in zip(batch["formatted"], batch["mask"], strict=True):
+            turns = [f"{role}\n{said}\n" for role, said in _turns_of(text)]
+            loss = "".join(unescape(text[span["start"] : span["end"]]) for span in mask)
+            rows.append((len(turns), "".join(turns), loss, len(text)))
+        out = pd.DataFrame(rows, columns=["n_turns", "turns", "loss", "chars"])
+        out.insert(0, "part", batch["part"].to_numpy())
+        out.insert(0, "conv_id", batch["conv_id"].astype("Int64").to_numpy())
+        yield out
+
+
+def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     conv, known, turns, loss, count, learned, chars = None, False, None, None, 0, 0, 0
     names = [c.split()[0] for c in DIGESTS.split(", ")]
 
@@ -171,32 +217,23 @@ def _read_back(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
     for batch in batches:
         missing = batch["conv_id"].isna()
-        for c, gap, text, mask in zip(batch["conv_id"], missing, batch["formatted"], batch["mask"], strict=True):
+        columns = (batch[c] for c in ("n_turns", "turns", "loss", "chars"))
+        for c, gap, n, said, kept, size in zip(batch["conv_id"], missing, *columns, strict=True):
             c = None if gap else int(c)
             if not known or c != conv:
                 if known:
                     yield row()
                 known, conv, count, learned, chars = True, c, 0, 0, 0
                 turns, loss = hashlib.sha256(), hashlib.sha256()
-            end = 0
-            for m in _TURN.finditer(text):
-                if m.start() != end:
-                    raise ValueError("a formatted part does not parse")
-                end = m.end()
-                turns.update(f"{unescape(m[1])}\n{unescape(m[2])}\n".encode())
-                count += 1
-            if end != len(text):
-                raise ValueError("a formatted part does not parse")
-            for span in mask:
-                plain = unescape(text[span["start"] : span["end"]])
-                loss.update(plain.encode())
-                learned += len(plain)
-            chars += len(text)
+            turns.update(said.encode())
+            loss.update(kept.encode())
+            count, learned, chars = count + int(n), learned + len(kept), chars + int(size)
     if known:
         yield row()
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
     """Parse the parts again: counts and digests of each conversation."""
-    dealt = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "part")
-    return dealt.select("conv_id", "formatted", "mask").mapInPandas(_read_back, DIGESTS)
+    parsed = formatted.select("conv_id", "part", "formatted", "mask").mapInPandas(_parse, PARSED)
+    dealt = parsed.repartition("conv_id").sortWithinPartitions("conv_id", "part")
+    return dealt.select("conv_id", "n_turns", "turns", "loss", "chars").mapInPandas(_digest, DIGESTS)

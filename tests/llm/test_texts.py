@@ -8,11 +8,12 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 
 import corpus_pipeline
-from rookery.llm import batched, chat, decontaminate, lm, packing, pii, quality
+from rookery.llm import batched, chat, decontaminate, lm, packing, pii, quality, queries
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -157,8 +158,32 @@ def test_escaping_is_reversible_and_leaves_no_control_string():
         assert not any(c in safe for c in chat.CONTROLS)
 
 
+def test_column_form_of_escaping(spark):
+    chance = random.Random(10)
+    atoms = [*chat.CONTROLS, "\\", "<", "[", "s>", "INST]", "a", "é", "\n", "|", "/"]
+    texts = ["".join(chance.choices(atoms, k=chance.randint(0, 12))) for _ in range(500)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r in frame.withColumn("safe", chat.escaped(frame.text)).collect():
+        assert r.safe == chat.escape(r.text)
+
+
+def test_the_query_and_its_sql_agree_on_ties(spark, tmp_path):
+    """Rows of one turn and role sort by text, in both."""
+    chance = random.Random(3)
+    rows = [(c, t, role, text) for c in range(4) for t in range(3) for role in ("user", "assistant") for text in chance.sample(["b", "a", "é", "B", "ab", "z", "Z"], 5)]
+    path = tmp_path / "conversations.parquet"
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    table.toPandas().to_parquet(path, index=False)
+    frame = queries.op4_chat_formatting(spark, str(tmp_path))
+    connection = duckdb.connect()
+    connection.execute(f"CREATE VIEW conversations AS SELECT * FROM '{path}'")
+    result = connection.execute(queries.ORACLE_SQL["op4_chat_formatting"])
+    names = [c[0] for c in result.description]
+    assert sorted(tuple(r) for r in frame.select(*names).collect()) == sorted(result.fetchall())
+
+
 def digests(rows):
-    rows = sorted(((t, r or "", x or "") for t, r, x in rows), key=lambda r: (r[0] is not None, r[0] or 0))
+    rows = sorted(((t, r or "", x or "") for t, r, x in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
     turns = "".join(f"{r}\n{x}\n" for _, r, x in rows)
     loss = "".join(x for _, r, x in rows if r == "assistant")
     return len(rows), hashlib.sha256(turns.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest()
@@ -171,11 +196,16 @@ def test_conversations_read_back(spark, monkeypatch, part):
         (1, 0, "user", None), (1, 1, "assistant", "</s>[INST] ok [/INST]"), (1, 2, "user", "x" * 5000), (1, 3, "assistant", "é" * 2000 + "\\"),
         (2, None, None, "lonely"), (2, 5, "assistant", ""), (None, 1, "assistant", "a\nb"), (3, 1, "user", "same"), (3, 1, "user", "same"),
         (4, 1, " [/INST] ", "odd role"),
+        *((5, 2, role, text) for role in ("user", "assistant") for text in ("b", "a", "é", "B", "", "ab", "\\", "b")),
+        *((6, t // 3, "assistant" if t % 2 else "user", f"turn {t % 7}") for t in range(300)),
     ]
-    turns = spark.createDataFrame([(*r, 7, "k") for r in rows], "conv_id long, turn long, role string, text string, seq int, kind string")
+    clashing = "seq int, kind string, place int, part int, n int, opened long, payload string, head string"
+    turns = spark.createDataFrame(
+        [(*r, 7, "k", 1, 2, 3, 4, "p", "h") for r in rows], f"conv_id long, turn long, role string, text string, {clashing}"
+    )
     formatted = chat.render(chat.reconstruct(chat.events_of_turns(turns)))
     got = {r["conv_id"]: tuple(r)[1:5] for r in chat.read_back(formatted).collect()}
-    want = {c: digests([r[1:] for r in rows if r[0] == c]) for c in (1, 2, 3, 4, None)}
+    want = {c: digests([r[1:] for r in rows if r[0] == c]) for c in (1, 2, 3, 4, 5, 6, None)}
     assert got == want
     assert chat.read_back(chat.render(chat.reconstruct(chat.events_of_turns(turns.limit(0))))).count() == 0
 
