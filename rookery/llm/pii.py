@@ -231,19 +231,29 @@ def rewritten(text: str) -> Aligned | None:
 
 
 _MARK = re.compile(rf"(?P<at>{_AT}|{_SPELLED_AT})|(?P<dot>{_DOT}|{_SPELLED_DOT})")
-_NEAR_AT = re.compile(rf"{_AT}|{_SPELLED_AT}|@")
-REACH = 120
+# white space after a sign may also stand before the next one, so it is left
+_NEAR_AT = re.compile(r"\s*[(\[{<]\s*(?:at|@|arroba|chez)\s*[)\]}>]|\s+(?:at|AT|At|arroba)(?=\s)|@")
+_ANY_DOT = re.compile(_any_dot)
+_AFTER_AT = re.compile(rf"\s*{_label}(?:{_any_dot}{_label})*")
+# the same chain of labels and dots before an at sign, read from right to left
+_backward = r"[A-Za-z0-9_%+-]+"
+_BEFORE_AT = re.compile(
+    rf"{_backward}(?:(?:\s*[)\]}}>]\s*(?:tod|\.|tknup|tniop|otnup)\s*[(\[{{<]\s*"
+    rf"|\s+(?:tod|TOD|toD|tknup|otnup)\s+|\.){_backward})*"
+)
 
 
 def _mail_windows(text: str) -> Iterator[tuple[int, int]]:
-    """Ranges around each at sign or its disguise, merged, cut at white space."""
-    last = None
+    """For each at sign or its disguise the whole chain of labels and dots on both sides, merged."""
+    last, backward = None, text[::-1]
     for m in _NEAR_AT.finditer(text):
-        a, b = max(0, m.start() - REACH), min(len(text), m.end() + REACH)
-        while a > 0 and not text[a - 1].isspace() and m.start() - a < 4 * REACH:
-            a -= 1
+        before = _BEFORE_AT.match(backward, len(text) - m.start())
+        after = _AFTER_AT.match(text, m.end())
+        if not before or not after or not _ANY_DOT.search(after[0]):
+            continue
+        a, b = len(text) - before.end(), min(len(text), after.end() + 1)  # one more for the look ahead
         if last and a <= last[1]:
-            last = (last[0], b)
+            last = (min(a, last[0]), max(b, last[1]))
         else:
             if last:
                 yield last
@@ -273,16 +283,31 @@ def _in_order(changes: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]
     return kept
 
 
+def _union(spans: list[Span]) -> list[tuple[int, int]]:
+    """The ranges that spans cover, in order and without overlap."""
+    merged: list[tuple[int, int]] = []
+    for _, start, end in sorted(spans, key=lambda s: s[1]):
+        if merged and start < merged[-1][1]:
+            merged[-1] = (merged[-1][0], max(end, merged[-1][1]))
+        else:
+            merged.append((start, end))
+    return merged
+
+
 def find_spans(text: str) -> tuple[list[Span], list[Span]]:
     """(plain spans, all spans), each in order of start and kind."""
     base = plain_spans(text)
     made = rewritten(text)
     more = []
     if made is not None:
+        taken = _union(base)
         for kind, a, b in plain_spans(made.text):
             start, end = made.source(a), made.source(b, end=True)
-            if all(end <= s or start >= e for _, s, e in base + more):
+            place = bisect_right(taken, (start, end))
+            free = (not place or taken[place - 1][1] <= start) and (place == len(taken) or taken[place][0] >= end)
+            if free:
                 more.append((kind, start, end))
+                taken.insert(place, (start, end))
 
     def ordered(spans: list[Span]) -> list[Span]:
         return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))

@@ -396,6 +396,23 @@ def test_disguised_spans_map_back(text, kind, part):
     )
 
 
+@pytest.mark.parametrize("n", [1, 30, 400])
+def test_long_disguised_addresses_are_whole(n):
+    local = " dot ".join(["john"] * n)
+    for at, dot in ((" at ", " dot "), (" [at] ", " (dot) "), ("(at)", "[dot]")):
+        part = local + at + dot.join(["mail"] * n + ["com"])
+        text = f"Write to: {part}, please."
+        assert pii.find_spans(text) == ([], [("email", 10, 10 + len(part))]), (n, at)
+
+
+def test_many_spans_in_one_text():
+    one = "joe at example dot com; a.b@c.de, "
+    base, spans = pii.find_spans(one * 20_000)
+    assert len(base) == 20_000 and len(spans) == 40_000
+    assert spans[:2] == [("email", 0, 22), ("email", 24, 32)]
+    assert spans[-1] == ("email", 19_999 * len(one) + 24, 19_999 * len(one) + 32)
+
+
 def test_prose_has_no_spans():
     for text in ("Meet me at noon. The dot is small.", "one two three", "at the end", "He looked at it. Com", "", "3.14 at 5"):
         assert pii.find_spans(text) == ([], [])
