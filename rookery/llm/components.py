@@ -34,4 +34,6 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.unionByName(least.select("a", F.col("m").alias("b")))
         edges = scratch.save(small.where("a != b").distinct(), f"{name}_{turn}")
+        scratch.drop(f"{name}_{turn - 1}")
+        scratch.drop(f"{name}_large_{turn}")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

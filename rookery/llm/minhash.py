@@ -8,12 +8,15 @@ throws only the darts below a rank that its total weight sets (about K ln K + 2K
 them), and each coordinate keeps the earliest dart. Coordinates left empty throw again
 with twice the rank, so a signature is always full.
 
-Signatures are cut into bands; texts that share a band are candidates. In a band group the
-text that shares most bands with others is the pivot, every other member is compared
-with it, and verified links are united. Groups that still hold several components go on
-with 2, 4, 8, ... new pivots until one component or no uncompared pair is left: no
-group is expanded into all pairs while a few pivots connect it, and no link between
-members of one group is lost. Copies (equal words) are one node throughout.
+Signatures are cut into bands; texts that share a band are candidates. Bands are long, so
+texts well below the threshold seldom meet: two texts of similarity 0.8 share one of the 36
+bands of 11 with probability 0.96, of 0.85 with 0.998, of 0.65 with 0.27. In a band group the
+text that shares most bands with others is the pivot, every other member of a fitting size
+is compared with it, and verified links are united. Groups that still hold several components
+go on with 2, 4, 8, ... new pivots until one component or no uncompared pair is left: no
+group is expanded into all pairs while a few pivots connect it, and no link between members
+of one group is lost. A pair that meets in several bands or turns is compared once. Copies
+(equal words) are one node throughout. Superseded tables are dropped as the turns go on.
 
 Defined results: a null text is empty; a text without words is in a class of its own;
 shorter texts than a shingle are one shingle; rows that repeat a doc_id are in the class of
@@ -27,14 +30,14 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import BinaryType, DoubleType
 
 from rookery.llm.components import components
 from rookery.llm.words import GOLD, batches, mix, shingle_hashes, word_hashes
 from rookery.plans.scratch import Scratch
 
-SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 25, 5
-SKETCH = "doc_id long, content binary, bands array<long>"
+SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 36, 11
+SKETCH = "doc_id long, content binary, size int, bands array<long>"
 
 
 def strips(hashes: np.ndarray) -> np.ndarray:
@@ -95,11 +98,17 @@ def _sketch(bands: int, rows: int):
                 hashes, cuts = shingle_hashes(words, bounds, SHINGLE)
                 lists = [strips(hashes[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
                 keys = np.empty((len(texts), bands), np.uint64)
+                # a strip of a short text throws many darts, so texts of like sizes go together
+                order = np.argsort(np.diff(cuts), kind="stable")
                 for at in range(0, len(texts), 256):
-                    part = signatures(lists[at : at + 256], bands * rows)
-                    keys[at : at + 256] = mix((part.reshape(-1, bands, rows) * weights).sum(axis=2) + names)
+                    some = order[at : at + 256]
+                    part = signatures([lists[i] for i in some], bands * rows)
+                    keys[some] = mix((part.reshape(-1, bands, rows) * weights).sum(axis=2) + names)
                 keys = keys.view(np.int64)
-                yield pd.DataFrame({"doc_id": pd.array(ids, "Int64"), "content": _contents(words, bounds), "bands": list(keys)})
+                sizes = [len(s) for s in lists]
+                yield pd.DataFrame(
+                    {"doc_id": pd.array(ids, "Int64"), "content": _contents(words, bounds), "size": sizes, "bands": list(keys)}
+                )
 
     return run
 
@@ -135,77 +144,99 @@ def _verified(pairs: DataFrame, weighed: DataFrame, similarity: float) -> DataFr
     """The pairs (a, b) whose texts are similar enough."""
     left = weighed.select(F.col("content").alias("a"), F.col("strips").alias("x"))
     right = weighed.select(F.col("content").alias("b"), F.col("strips").alias("y"))
-    # sizes bound the similarity before any comparison
-    fits = F.least(F.length("x"), F.length("y")) >= similarity * F.greatest(F.length("x"), F.length("y"))
-    joined = pairs.join(left, "a").join(right, "b").where(fits)
+    joined = pairs.join(left, "a").join(right, "b")
     return joined.where(_similarity("x", "y") >= similarity - 1e-12).select("a", "b").distinct()
 
 
-def near_classes(
-    docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS
-) -> DataFrame:
-    """One row per document: doc_id, class_id, class_size, n_links, kept.
-
-    ``class_id`` is the smallest doc_id of the class, ``n_links`` the number of verified
-    links of the document's text, ``kept`` marks one document of each class.
-    """
-    scratch = Scratch(docs.sparkSession, "near")
-    sketch = docs.select("doc_id", "text").mapInPandas(_sketch(bands, rows), SKETCH)
-    sketch = scratch.save(sketch, "sketch")
-    known = sketch.where("content is not null")
-    # equal texts have equal bands, so one row of each text is enough
-    nodes = known.groupBy("content").agg(F.min("doc_id").alias("id"), F.any_value("bands").alias("bands"))
-    nodes = scratch.save(nodes, "nodes")
-    banded = nodes.select("content", F.explode("bands").alias("key"))
-    sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = scratch.save(banded.join(scratch.save(sizes, "sizes"), "key"), "members")
-    fame = members.groupBy("content").agg(F.sum("n").alias("fame"))
-    members = scratch.save(members.drop("n").join(fame, "content"), "famed")
-    wanted = nodes.join(members.select("content").distinct(), "content", "left_semi").select("id").distinct()
-    # a repeated id brings further texts along, which no pair asks for
-    texts = docs.select("doc_id", "text").join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    weighed = scratch.save(texts.mapInPandas(_weighed, "content binary, strips binary"), "weighed")
-
-    links, unions, turn = [], [], 0
+def _links(members: DataFrame, weighed: DataFrame, similarity: float, scratch: Scratch) -> list[DataFrame]:
+    """Unions (node, root) of one turn after the other; ``members(key, content, size, fame)``."""
+    unions, compared, turn = [], None, 0
     members = members.withColumn("root", F.col("content"))
+    pivot = [F.col("content").alias("pivot"), F.col("root").alias("pivot_root"), F.col("size").alias("pivot_size")]
     while True:
         if turn == 0:
-            pivots = members.groupBy("key").agg(F.max(F.struct("fame", "content", "root")).alias("p"))
-            pivots = pivots.select("key", F.col("p.content").alias("pivot"), F.col("p.root").alias("pivot_root"))
+            most = members.groupBy("key").agg(F.max(F.struct("fame", "content", "root", "size")).alias("p"))
+            pivots = most.select("key", "p.content", "p.root", "p.size").select("key", *pivot)
         else:
             famous = Window.partitionBy("key").orderBy(F.desc("fame"), F.desc("content"))
             pivots = members.withColumn("nth", F.row_number().over(famous)).where(F.col("nth") <= 2**turn)
-            pivots = pivots.select("key", F.col("content").alias("pivot"), F.col("root").alias("pivot_root"))
+            pivots = pivots.select("key", *pivot)
         pivots = scratch.save(pivots, f"pivots_{turn}")
-        pairs = members.join(pivots, "key").where("root != pivot_root").select(
+        # sizes bound the similarity before any comparison
+        fits = F.least("size", "pivot_size") >= similarity * F.greatest("size", "pivot_size") - 1e-9
+        pairs = members.join(pivots, "key").where((F.col("root") != F.col("pivot_root")) & fits).select(
             F.greatest("content", "pivot").alias("a"), F.least("content", "pivot").alias("b")
         )
-        found = scratch.save(_verified(pairs.distinct(), weighed, similarity), f"links_{turn}")
-        links.append(found)
+        pairs = pairs.distinct()
+        if compared is not None:
+            pairs = pairs.join(compared, ["a", "b"], "left_anti")
+        pairs = scratch.save(pairs, f"pairs_{turn}")
+        compared = pairs if compared is None else compared.unionByName(pairs)
+        found = scratch.save(_verified(pairs, weighed, similarity), f"links_{turn}")
         unions.append(components(_at_roots(found, unions), scratch, f"components_{turn}"))
         # compared pivots leave; groups of one component are done
-        compared = pivots.select("key", F.col("pivot").alias("content"))
-        rest = _rooted(members.join(compared, ["key", "content"], "left_anti"), "root", unions[-1:])
+        past = pivots.select("key", F.col("pivot").alias("content"))
+        rest = _rooted(members.join(past, ["key", "content"], "left_anti"), "root", unions[-1:])
         rest = scratch.save(rest, f"rest_{turn}")
         active = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
         members = scratch.save(rest.join(active.select("key"), "key", "left_semi"), f"members_{turn}")
+        for label in (f"pivots_{turn}", f"links_{turn}", f"rest_{turn}", *([f"members_{turn - 1}"] if turn else [])):
+            scratch.drop(label)
         turn += 1
         if members.isEmpty():
-            break
+            return unions
+
 
-    ends = reduce(DataFrame.unionByName, links).select(F.explode(F.array("a", "b")).alias("content"))
-    degree = ends.groupBy("content").agg(F.count(F.lit(1)).alias("n_links"))
-    linked = _rooted(degree.withColumn("root", F.col("content")), "root", unions)
-    linked = scratch.save(linked, "linked")
-    placed = known.select("doc_id", "content").join(linked, "content", "left")
+def _classes(docs: DataFrame, similarity: float, bands: int, rows: int) -> DataFrame:
+    """One row per document: doc_id, content, class_id, class_size, kept."""
+    scratch = Scratch(docs.sparkSession, "near")
+    sketch = docs.select("doc_id", "text").mapInPandas(_sketch(bands, rows), SKETCH)
+    sketch = scratch.save(sketch, "sketch")
+    known = sketch.where("content is not null")
+    # equal texts have equal bands, so one row of each text is enough
+    nodes = known.groupBy("content").agg(
+        F.min("doc_id").alias("id"), F.any_value("size").alias("size"), F.any_value("bands").alias("bands")
+    )
+    nodes = scratch.save(nodes, "nodes")
+    banded = nodes.select("content", "size", F.explode("bands").alias("key"))
+    sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members = scratch.save(banded.join(scratch.save(sizes, "sizes"), "key"), "members")
+    fame = members.groupBy("content").agg(F.sum("n").alias("fame"))
+    members = scratch.save(members.drop("n").join(fame, "content"), "famed")
+    wanted = nodes.join(members.select("content").distinct(), "content", "left_semi").select("id").distinct()
+    # a repeated id brings further texts along, which no pair asks for
+    texts = docs.select("doc_id", "text").join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+    weighed = scratch.save(texts.mapInPandas(_weighed, "content binary, strips binary").dropDuplicates(["content"]), "weighed")
+    for label in ("nodes", "sizes", "members"):
+        scratch.drop(label)
+    unions = _links(members, weighed, similarity, scratch)
+    scratch.drop("weighed")
+    linked = reduce(DataFrame.unionByName, [u.select(F.col("node").alias("content")) for u in unions])
+    linked = linked.unionByName(reduce(DataFrame.unionByName, [u.select(F.col("root").alias("content")) for u in unions]))
+    linked = _rooted(linked.distinct().withColumn("root", F.col("content")), "root", unions)
+    placed = known.select("doc_id", "content").join(scratch.save(linked, "linked"), "content", "left")
     placed = scratch.save(placed.withColumn("root", F.coalesce("root", "content")), "placed")
-    classes = placed.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    classes = scratch.save(classes, "classes")
-    named = placed.join(classes, "root").select("doc_id", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    # the row that stays: the smallest id, a null one last, then the smallest text name
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("gap"), "doc_id", "content")).alias("first")
+    classes = placed.groupBy("root").agg(first, F.count(F.lit(1)).alias("class_size"))
+    named = placed.join(scratch.save(classes, "classes"), "root")
+    kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("content") == F.col("first.content"))
+    named = named.select("doc_id", "content", F.col("first.doc_id").alias("class_id"), "class_size", kept.alias("kept"))
     alone = sketch.where("content is null").select(
-        "doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(0).cast("long").alias("n_links")
+        "doc_id", "content", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(True).alias("kept")
     )
-    return named.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
+    return scratch.save(named.unionByName(alone), "result")
+
+
+def near_classes(
+    docs: DataFrame, similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS
+) -> DataFrame:
+    """One row per document: doc_id, class_id, class_size, kept.
+
+    ``class_id`` is the smallest doc_id of the class, and ``kept`` marks the document that has
+    it. Of rows that repeat the id with several texts, that of the smallest text name is meant.
+    """
+    return _classes(docs, similarity, bands, rows).drop("content")
 
 
 def _rooted(rows: DataFrame, column: str, unions: list[DataFrame]) -> DataFrame:
@@ -220,12 +251,33 @@ def _at_roots(edges: DataFrame, unions: list[DataFrame]) -> DataFrame:
     return _rooted(_rooted(edges, "a", unions), "b", unions)
 
 
+@F.pandas_udf(BinaryType())
+def _name(texts: pd.Series) -> pd.Series:
+    """The name of a text's words, empty without words."""
+    words, bounds = word_hashes([t or "" for t in texts])
+    return pd.Series([c or b"" for c in _contents(words, bounds)])
+
+
 def drop_near_copies(docs: DataFrame) -> DataFrame:
     """One document of each class, with the columns it came with.
 
-    An id goes when none of its rows is the kept one of its class.
+    Rows are told apart by id where it is their own. Those that repeat an id or have none are
+    decided by id and text, and of equal ones with words one stays.
     """
     scratch = Scratch(docs.sparkSession, "near_kept")
-    ids = near_classes(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.max("kept").alias("stays"))
-    gone = scratch.save(ids.where("not stays").select("_id"), "gone")
-    return docs.join(gone.hint("merge"), docs["doc_id"].eqNullSafe(gone["_id"]), "left_anti")
+    ids = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or doc_id is null")
+    shared = scratch.save(ids.select(F.col("doc_id").alias("_id")), "shared_ids")
+    decided = _classes(docs, SIMILARITY, BANDS, ROWS)
+    gone = scratch.save(decided.where("not kept").select(F.col("doc_id").alias("_id")).distinct(), "gone")
+
+    def same(other: DataFrame):
+        return docs["doc_id"].eqNullSafe(other["_id"])
+
+    own = docs.join(shared, same(shared), "left_anti").join(gone.hint("merge"), same(gone), "left_anti")
+    several = docs.join(shared, same(shared), "left_semi").withColumn("_content", _name("text"))
+    several = scratch.save(several, "several")
+    stays = decided.where("kept and content is not null").select(F.col("doc_id").alias("_id"), F.col("content").alias("_name"))
+    chosen = several["doc_id"].eqNullSafe(stays["_id"]) & (several["_content"] == stays["_name"])
+    chosen = several.join(stays.hint("merge"), chosen, "left_semi").dropDuplicates(["doc_id", "_content"])
+    bare = several.where(F.length("_content") == 0)
+    return own.unionByName(chosen.unionByName(bare).select(*docs.columns))

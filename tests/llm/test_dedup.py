@@ -116,6 +116,50 @@ def test_links_that_the_pivot_does_not_have_are_found(spark):
     assert got_classes(got) == brute_classes(rows)
 
 
+def test_bands_find_nine_of_ten_links_at_the_threshold(spark):
+    """Pairs just above 0.8 that nothing but their own bands can bring together."""
+    chance = random.Random(21)
+    rows, pairs = [], 0
+    while pairs < 250:
+        words = [f"p{pairs}w{i}" for i in range(chance.randint(60, 200))]
+        other = list(words)
+        while True:
+            trial = list(other)
+            trial[chance.randrange(len(trial))] = f"p{pairs}n{len(rows)}x{chance.randrange(10**6)}"
+            if not similar(multiset(" ".join(words)), multiset(" ".join(trial))):
+                break
+            other = trial
+        rows += [(2 * pairs, " ".join(words)), (2 * pairs + 1, " ".join(other))]
+        pairs += 1
+    got = minhash.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = sum(r["class_size"] == 2 for r in got) / 2
+    assert found >= 0.9 * pairs
+    assert {r["class_id"] // 2 - r["doc_id"] // 2 for r in got} == {0}
+
+
+def test_dropping_decides_shared_ids_by_text(spark):
+    base = [f"w{i}" for i in range(100)]
+
+    def text(k, *edits):
+        words = [f"{w}t{k}" for w in base]
+        for e in edits:
+            words[e] = f"edit{k}x{e}"
+        return " ".join(words)
+
+    rows = [
+        (None, text(1)), (None, text(1, 50)), (None, text(2)), (7, text(3)), (7, text(4)), (8, text(4, 9)), (6, text(3, 9)),
+        (9, text(5)), (9, text(5)), (9, text(5, 3)), (None, ""), (None, None), (5, ""), (5, " "), (4, text(2, 1)),
+    ]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, n int")
+    kept = minhash.drop_near_copies(docs)
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    sure = [(7, text(4)), (6, text(3, 9)), (4, text(2, 1)), (None, ""), (None, None), (5, ""), (5, " ")]
+    assert all(r in got for r in sure) and len(got) == len(sure) + 2
+    assert sum(r in got for r in [(None, text(1)), (None, text(1, 50))]) == 1
+    assert sum(r in got for r in [(9, text(5)), (9, text(5, 3))]) == 1
+
+
 def test_near_classes_of_odd_documents(odd_docs, odd_rows):
     got = minhash.near_classes(odd_docs).collect()
     assert len(got) == len(odd_rows)
