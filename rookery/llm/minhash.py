@@ -13,7 +13,7 @@ texts well below the threshold seldom meet: two texts of similarity 0.8 share on
 bands of 11 with probability 0.96, of 0.85 with 0.998, of 0.65 with 0.27. In a band group the
 text that shares most bands with others is the pivot, every other member of a fitting size
 is compared with it, and verified links are united. Groups that still hold several components
-go on with 2, 4, 8, ... new pivots until one component or no uncompared pair is left: no
+go on with 8, 64, ... new pivots until one component or no uncompared pair is left: no
 group is expanded into all pairs while a few pivots connect it, and no link between members
 of one group is lost. A pair that meets in several bands or turns is compared once. Copies
 (equal words) are one node throughout. Superseded tables are dropped as the turns go on.
@@ -152,20 +152,22 @@ def _links(members: DataFrame, weighed: DataFrame, similarity: float, scratch: S
     """Unions (node, root) of one turn after the other; ``members(key, content, size, fame)``."""
     unions, compared, turn = [], None, 0
     members = members.withColumn("root", F.col("content"))
-    pivot = [F.col("content").alias("pivot"), F.col("root").alias("pivot_root"), F.col("size").alias("pivot_size")]
+    pivot = [F.col(c).alias(f"pivot_{c}") for c in ("fame", "content", "root", "size")]
     while True:
         if turn == 0:
             most = members.groupBy("key").agg(F.max(F.struct("fame", "content", "root", "size")).alias("p"))
-            pivots = most.select("key", "p.content", "p.root", "p.size").select("key", *pivot)
+            pivots = most.select("key", "p.*").select("key", *pivot)
         else:
             famous = Window.partitionBy("key").orderBy(F.desc("fame"), F.desc("content"))
-            pivots = members.withColumn("nth", F.row_number().over(famous)).where(F.col("nth") <= 2**turn)
+            pivots = members.withColumn("nth", F.row_number().over(famous)).where(F.col("nth") <= 8**turn)
             pivots = pivots.select("key", *pivot)
         pivots = scratch.save(pivots, f"pivots_{turn}")
         # sizes bound the similarity before any comparison
         fits = F.least("size", "pivot_size") >= similarity * F.greatest("size", "pivot_size") - 1e-9
-        pairs = members.join(pivots, "key").where((F.col("root") != F.col("pivot_root")) & fits).select(
-            F.greatest("content", "pivot").alias("a"), F.least("content", "pivot").alias("b")
+        # every pair from its more famous side, so two pivots meet once
+        below = F.struct("fame", "content") < F.struct("pivot_fame", "pivot_content")
+        pairs = members.join(pivots, "key").where((F.col("root") != F.col("pivot_root")) & fits & below).select(
+            F.greatest("content", "pivot_content").alias("a"), F.least("content", "pivot_content").alias("b")
         )
         pairs = pairs.distinct()
         if compared is not None:
@@ -175,7 +177,7 @@ def _links(members: DataFrame, weighed: DataFrame, similarity: float, scratch: S
         found = scratch.save(_verified(pairs, weighed, similarity), f"links_{turn}")
         unions.append(components(_at_roots(found, unions), scratch, f"components_{turn}"))
         # compared pivots leave; groups of one component are done
-        past = pivots.select("key", F.col("pivot").alias("content"))
+        past = pivots.select("key", F.col("pivot_content").alias("content"))
         rest = _rooted(members.join(past, ["key", "content"], "left_anti"), "root", unions[-1:])
         rest = scratch.save(rest, f"rest_{turn}")
         active = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
