@@ -1,6 +1,6 @@
 """The registered queries of the training-data operators, and their DuckDB twins."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
 from rookery.llm import (
@@ -29,7 +29,8 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(_table(spark, folder, "documents"))
+    packed = packing.pack(_table(spark, folder, "documents"))
+    return packed.withColumn("text_sha256", F.sha2("text", 256)).drop("text")
 
 
 def op3_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

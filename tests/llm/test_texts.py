@@ -147,6 +147,23 @@ def test_packing_keeps_every_token(odd_docs, odd_rows, no_docs):
     assert packing.pack(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("max_len", [1, 3, 100])
+def test_pieces_join_to_the_text(spark, max_len):
+    chance = random.Random(2)
+    texts = ["", "  ", " a", "a b c ", "\n one\ttwo  three\x0bfour é\u00a0x ", "w" * 50]
+    texts += ["".join(chance.choices("ab \n", k=chance.randint(0, 400))) for _ in range(20)]
+    docs = spark.createDataFrame([*enumerate(texts), (99, None)], "doc_id long, text string")
+    found = defaultdict(list)
+    for r in packing.pack(docs, max_len=max_len).collect():
+        found[r["doc_id"]].append((r["piece"], r["n_tokens"], r["text"]))
+    for i, text in [*enumerate(texts), (99, "")]:
+        pieces = sorted(found[i])
+        assert "".join(t for _, _, t in pieces) == text
+        assert [p for p, _, _ in pieces] == list(range(len(pieces)))
+        own = [len(re.findall(r"[^\x20\x09-\x0D]+", t)) for _, _, t in pieces]
+        assert [n for _, n, _ in pieces] == [*own[:-1], own[-1] + 1]
+
+
 # chat
 def test_escaping_is_reversible_and_leaves_no_control_string():
     chance = random.Random(9)
