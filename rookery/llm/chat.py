@@ -20,7 +20,7 @@ empty table gives an empty result; further columns are ignored.
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -128,14 +128,27 @@ def reconstruct(events: DataFrame, order: tuple[str, ...] = ORDER) -> DataFrame:
     return dealt.select("conv_id", "n", "kind", "payload").mapInPandas(_fold, "conv_id long, n long, role string, text string")
 
 
-def _join_turns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sorted rendered turns to the rows of their parts."""
-    key, turns, out, size, mask = None, 0, [], 0, []
-    names = ["conv_id", "part", "n_turns", "formatted", "mask"]
+def _gathered(rows: Iterator[tuple], schema: str, size: Callable[[tuple], int]) -> Iterator[pd.DataFrame]:
+    """Rows as frames of about ``PART`` characters or a thousand rows, not a frame a row."""
+    names = [field.split()[0] for field in schema.split(", ")]
+    some, held = [], 0
+
+    def frame():
+        return pd.DataFrame(some, columns=names).astype({"conv_id": "Int64"})
 
-    def row():
-        return pd.DataFrame([(*key, turns, "".join(out), list(mask))], columns=names).astype({"conv_id": "Int64"})
+    for row in rows:
+        some.append(row)
+        held += size(row)
+        if held >= PART or len(some) >= 1000:
+            yield frame()
+            some, held = [], 0
+    if some:
+        yield frame()
 
+
+def _parts(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+    """Sorted rendered turns to the rows of their parts."""
+    key, turns, out, size, mask = None, 0, [], 0, []
     for batch in batches:
         missing = batch["conv_id"].isna()
         columns = (batch[c] for c in ("part", "head", "body", "learned"))
@@ -143,7 +156,7 @@ def _join_turns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             this = (None if gap else int(c), int(part))
             if this != key:
                 if key is not None:
-                    yield row()
+                    yield *key, turns, "".join(out), mask
                 key, turns, out, size, mask = this, 0, [], 0, []
             if learned and body:
                 mask.append({"start": size + len(head), "end": size + len(head) + len(body)})
@@ -151,7 +164,11 @@ def _join_turns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             size += len(head) + len(body) + len(CLOSE)
             turns += 1
     if key is not None:
-        yield row()
+        yield *key, turns, "".join(out), mask
+
+
+def _join_turns(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    return _gathered(_parts(batches), FORMATTED, lambda row: len(row[3]))
 
 
 def render(messages: DataFrame) -> DataFrame:
@@ -206,15 +223,9 @@ def _parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield out
 
 
-def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _digests(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+    """One row for each conversation, from its parsed parts in order."""
     conv, known, turns, loss, count, learned, chars = None, False, None, None, 0, 0, 0
-    names = [c.split()[0] for c in DIGESTS.split(", ")]
-
-    def row():
-        return pd.DataFrame(
-            [(conv, count, turns.hexdigest(), learned, loss.hexdigest(), chars)], columns=names
-        ).astype({"conv_id": "Int64"})
-
     for batch in batches:
         missing = batch["conv_id"].isna()
         columns = (batch[c] for c in ("n_turns", "turns", "loss", "chars"))
@@ -222,14 +233,18 @@ def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             c = None if gap else int(c)
             if not known or c != conv:
                 if known:
-                    yield row()
+                    yield conv, count, turns.hexdigest(), learned, loss.hexdigest(), chars
                 known, conv, count, learned, chars = True, c, 0, 0, 0
                 turns, loss = hashlib.sha256(), hashlib.sha256()
             turns.update(said.encode())
             loss.update(kept.encode())
             count, learned, chars = count + int(n), learned + len(kept), chars + int(size)
     if known:
-        yield row()
+        yield conv, count, turns.hexdigest(), learned, loss.hexdigest(), chars
+
+
+def _digest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    return _gathered(_digests(batches), DIGESTS, lambda row: 0)
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
