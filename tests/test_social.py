@@ -127,7 +127,7 @@ def test_messages(spark):
     sent = {(r.content, r.receiver) for r in chat.message_deliveries(messages, membership).collect()}
     assert sent == {("later", "a"), ("later", "c"), ("first", "b"), ("first", "c")}
     direct = spark.createDataFrame([("b", "a", 2, "two"), ("a", "b", 1, "one")], "fromuser string, touser string, timestamp bigint, message string")
-    assert [(r.conversation, r.message) for r in chat.direct_history(direct).collect()] == [("a__b", "one"), ("a__b", "two")]
+    assert [(r.conversation, r.message) for r in ordered(chat.direct_history(direct))] == [("a__b", "one"), ("a__b", "two")]
 
 
 def test_a_hot_poster_spreads_and_loses_no_row(spark, rows):
