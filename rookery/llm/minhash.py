@@ -15,8 +15,12 @@ text that shares most bands with others is the pivot, every other member of a fi
 is compared with it, and verified links are united. Groups that still hold several components
 go on with 8, 64, ... new pivots until one component or no uncompared pair is left: no
 group is expanded into all pairs while a few pivots connect it, and no link between members
-of one group is lost. A pair that meets in several bands or turns is compared once. Copies
-(equal words) are one node throughout. Superseded tables are dropped as the turns go on.
+of one group is lost. Before each further turn the shingles of the texts still in play are
+counted: those found in one text only can be in no overlap, so a text cannot overlap another
+by more than the rest, and texts (and then pairs) that cannot reach the threshold leave
+uncompared. Edited copies just below the threshold end there, since their edits are their
+own. A pair that meets in several bands or turns is compared once. Copies (equal words) are
+one node throughout. Superseded tables are dropped as the turns go on.
 
 Defined results: a null text is empty; a text without words is in a class of its own;
 shorter texts than a shingle are one shingle; rows that repeat a doc_id are in the class of
@@ -126,14 +130,13 @@ def _weighed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for _, texts in batches(frame["text"], frame["doc_id"]):
             words, bounds = word_hashes(texts)
             hashes, cuts = shingle_hashes(words, bounds, SHINGLE)
-            blobs = [strips(hashes[a:b]).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pd.DataFrame({"content": _contents(words, bounds), "strips": blobs})
+            lists = [strips(hashes[a:b]).view(np.int64) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            yield pd.DataFrame({"content": _contents(words, bounds), "strips": lists})
 
 
 @F.pandas_udf(DoubleType())
 def _similarity(left: pd.Series, right: pd.Series) -> pd.Series:
-    def one(a, b):
-        x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    def one(x, y):
         both = len(np.intersect1d(x, y, assume_unique=True))
         return both / max(1, len(x) + len(y) - both)
 
@@ -148,22 +151,48 @@ def _verified(pairs: DataFrame, weighed: DataFrame, similarity: float) -> DataFr
     return joined.where(_similarity("x", "y") >= similarity - 1e-12).select("a", "b").distinct()
 
 
+def _reach(shared, size, other, similarity: float):
+    """Whether ``shared`` common strips can make texts of these sizes similar enough."""
+    return shared >= similarity * (size + other - shared) - 1e-9
+
+
+def _able(members: DataFrame, weighed: DataFrame, similarity: float) -> DataFrame:
+    """Members that may have a link to another member, with ``shared``: strips that are not theirs alone."""
+    live = members.select("content").distinct()
+    strip = weighed.join(live, "content", "left_semi").select("content", F.explode("strips").alias("strip"))
+    owners = strip.groupBy("strip").agg(F.count(F.lit(1)).alias("n"), F.any_value("content").alias("content"))
+    own = owners.where("n = 1").groupBy("content").agg(F.count(F.lit(1)).alias("own"))
+    members = members.drop("shared").join(own, "content", "left")
+    members = members.withColumn("shared", F.col("size") - F.coalesce("own", F.lit(0))).drop("own")
+    # the least partner of a member is the least text of its group, and of a fitting size
+    least = members.groupBy("key").agg(F.min("size").alias("least"))
+    other = F.greatest("least", F.col("size") * similarity)
+    return members.join(least, "key").where(_reach(F.col("shared"), F.col("size"), other, similarity)).drop("least")
+
+
+def _undecided(members: DataFrame) -> DataFrame:
+    """Members of the groups that still hold several components."""
+    roots = members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
+    return members.join(roots.select("key"), "key", "left_semi")
+
+
 def _links(members: DataFrame, weighed: DataFrame, similarity: float, scratch: Scratch) -> list[DataFrame]:
     """Unions (node, root) of one turn after the other; ``members(key, content, size, fame)``."""
     unions, compared, turn = [], None, 0
-    members = members.withColumn("root", F.col("content"))
-    pivot = [F.col(c).alias(f"pivot_{c}") for c in ("fame", "content", "root", "size")]
+    members = members.withColumn("root", F.col("content")).withColumn("shared", F.col("size").cast("long"))
+    columns = ("fame", "content", "root", "size", "shared")
+    pivot = [F.col(c).alias(f"pivot_{c}") for c in columns]
     while True:
         if turn == 0:
-            most = members.groupBy("key").agg(F.max(F.struct("fame", "content", "root", "size")).alias("p"))
+            most = members.groupBy("key").agg(F.max(F.struct(*columns)).alias("p"))
             pivots = most.select("key", "p.*").select("key", *pivot)
         else:
             famous = Window.partitionBy("key").orderBy(F.desc("fame"), F.desc("content"))
             pivots = members.withColumn("nth", F.row_number().over(famous)).where(F.col("nth") <= 8**turn)
             pivots = pivots.select("key", *pivot)
         pivots = scratch.save(pivots, f"pivots_{turn}")
-        # sizes bound the similarity before any comparison
-        fits = F.least("size", "pivot_size") >= similarity * F.greatest("size", "pivot_size") - 1e-9
+        # sizes and shared strips bound the similarity before any comparison
+        fits = _reach(F.least("shared", "pivot_shared"), F.col("size"), F.col("pivot_size"), similarity)
         # every pair from its more famous side, so two pivots meet once
         below = F.struct("fame", "content") < F.struct("pivot_fame", "pivot_content")
         pairs = members.join(pivots, "key").where((F.col("root") != F.col("pivot_root")) & fits & below).select(
@@ -180,9 +209,11 @@ def _links(members: DataFrame, weighed: DataFrame, similarity: float, scratch: S
         past = pivots.select("key", F.col("pivot_content").alias("content"))
         rest = _rooted(members.join(past, ["key", "content"], "left_anti"), "root", unions[-1:])
         rest = scratch.save(rest, f"rest_{turn}")
-        active = rest.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-        members = scratch.save(rest.join(active.select("key"), "key", "left_semi"), f"members_{turn}")
-        for label in (f"pivots_{turn}", f"links_{turn}", f"rest_{turn}", *([f"members_{turn - 1}"] if turn else [])):
+        open_ = scratch.save(_undecided(rest), f"open_{turn}")
+        able = scratch.save(_able(open_, weighed, similarity), f"able_{turn}")
+        members = scratch.save(_undecided(able), f"members_{turn}")
+        superseded = [f"members_{turn - 1}"] if turn else []
+        for label in (f"pivots_{turn}", f"links_{turn}", f"rest_{turn}", f"open_{turn}", f"able_{turn}", *superseded):
             scratch.drop(label)
         turn += 1
         if members.isEmpty():
@@ -208,7 +239,7 @@ def _classes(docs: DataFrame, similarity: float, bands: int, rows: int) -> DataF
     wanted = nodes.join(members.select("content").distinct(), "content", "left_semi").select("id").distinct()
     # a repeated id brings further texts along, which no pair asks for
     texts = docs.select("doc_id", "text").join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-    weighed = scratch.save(texts.mapInPandas(_weighed, "content binary, strips binary").dropDuplicates(["content"]), "weighed")
+    weighed = scratch.save(texts.mapInPandas(_weighed, "content binary, strips array<long>").dropDuplicates(["content"]), "weighed")
     for label in ("nodes", "sizes", "members"):
         scratch.drop(label)
     unions = _links(members, weighed, similarity, scratch)

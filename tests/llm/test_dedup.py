@@ -60,7 +60,7 @@ def similar(a, b):
     return bool(union) and both / union >= 0.8
 
 
-def brute_classes(rows):
+def brute_classes(rows, meet=lambda i, j: True):
     sets = [multiset(t) for _, t in rows]
     root = list(range(len(rows)))
 
@@ -71,7 +71,7 @@ def brute_classes(rows):
 
     for i in range(len(rows)):
         for j in range(i):
-            if similar(sets[i], sets[j]):
+            if meet(i, j) and similar(sets[i], sets[j]):
                 root[find(i)] = find(j)
     ids = defaultdict(list)
     for i, (d, _) in enumerate(rows):
@@ -103,6 +103,48 @@ def test_near_classes_of_edited_copies(spark):
     assert all(r["kept"] == (r["class_id"] == r["doc_id"]) for r in got)
 
 
+def edited_family(seed, n):
+    """Copies with edits of their own, most below the threshold of each other; some share an edit."""
+    chance = random.Random(seed)
+    words = [f"f{i}" for i in range(150)]
+    common = [(chance.randrange(150), f"s{k}") for k in range(4)]
+    texts = []
+    for i in range(n):
+        copy = list(words)
+        for k in range(chance.randint(1, 6)):
+            copy[chance.randrange(150)] = f"e{i}x{k}"
+        for at, word in chance.sample(common, chance.randint(0, 2)):
+            copy[at] = word
+        texts.append(" ".join(copy))
+    return texts
+
+
+def test_near_classes_of_a_family_around_the_threshold(spark):
+    """Every link between texts that share a band is found."""
+    rows = list(enumerate(edited_family(8, 120) + edited_family(9, 60)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sketch = docs.mapInPandas(minhash._sketch(minhash.BANDS, minhash.ROWS), minhash.SKETCH).collect()
+    bands = {r["doc_id"]: set(r["bands"]) for r in sketch}
+    got = minhash.near_classes(docs).collect()
+    assert got_classes(got) == brute_classes(rows, lambda i, j: bool(bands[i] & bands[j]))
+
+
+def test_members_that_leave_uncompared_have_no_link(spark):
+    texts = edited_family(5, 80)
+    weighed = spark.createDataFrame([(0, t) for t in texts], "doc_id long, text string")
+    weighed = weighed.mapInPandas(minhash._weighed, "content binary, strips array<long>").cache()
+    members = weighed.select(F.lit(1).alias("key"), "content", F.size("strips").alias("size"))
+    able = {bytes(r["content"]): r["shared"] for r in minhash._able(members.withColumn("shared", F.col("size")), weighed, 0.8).collect()}
+    sets = [(bytes(r["content"]), set(r["strips"])) for r in weighed.collect()]
+    linked = set()
+    for a, x in sets:
+        others = set().union(*(y for b, y in sets if b != a))
+        if a in able:
+            assert able[a] == len(x & others)
+        linked |= {a for b, y in sets if b != a and len(x & y) >= 0.8 * len(x | y)}
+    assert linked <= able.keys() and len(able) < len(texts)
+
+
 def test_links_that_the_pivot_does_not_have_are_found(spark):
     """A chain: each text is like the next one only, and all share bands with a hub text."""
     chance = random.Random(4)
