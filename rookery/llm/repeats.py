@@ -10,6 +10,12 @@ bytes) are sorted in byte order, neighbours that are equal byte by byte are one
 the least document of a string is the least of the phrases that hold it. Answers return
 to the documents, which drop the bytes that a string of a smaller document covers.
 
+A passage of many documents makes many phrases at its edges, where trigger bytes are shared
+and the bytes around them are not. The windows of each trigger's distinct phrases are
+counted first; a trigger with more than ``HOT`` has its phrases cut into single windows,
+which are dealt by a hash of their bytes. Equal windows have equal triggers, so they still
+meet, and no group grows with how common a passage is, but for one entry a batch.
+
 Triggers are exchanged as 32 bits within a bucket, which can only add phrases to the
 dictionary; what is removed is decided on bytes.
 
@@ -30,6 +36,7 @@ from rookery.llm.words import mix
 from rookery.plans.scratch import Scratch
 
 LENGTH, GRAM = 50, 24
+HOT = 1 << 19  # windows of one trigger that are compared in one group
 _rng = np.random.Generator(np.random.PCG64(977))
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
 _TIMES = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
@@ -84,28 +91,47 @@ def _codes(value: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _ask_triggers(n_buckets: int):
+    """Each trigger of a batch, with the number of windows in its distinct phrases."""
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for batch, ids, lens, blob in frame[["batch", "ids", "lens", "blob"]].itertuples(index=False):
                 _, bounds, data = unpacked(ids, lens, blob)
-                value = [np.unique(phrases(data, bounds, a, b)[0]) for a, b in pieces(bounds)]
-                bucket, key = _codes(np.unique(np.concatenate(value)), n_buckets)
-                rows = [(k, np.unique(keys).tobytes()) for k, (keys,) in by_bucket(bucket, key)]
-                if rows:
-                    yield pd.DataFrame(rows, columns=["bucket", "keys"]).assign(batch=batch)
+                parts = [phrases(data, bounds, a, b) for a, b in pieces(bounds)]
+                value, _, first, last = (np.concatenate(x) for x in zip(*parts, strict=True))
+                if not len(value):
+                    continue
+                bucket, key = _codes(value, n_buckets)
+                names = [hash(data[f : e + LENGTH]) for f, e in zip(first.tolist(), last.tolist(), strict=True)]
+                names = np.array(names, np.int64)
+                order = np.lexsort((names, key, bucket))
+                bucket, key, names = bucket[order], key[order], names[order]
+                head = np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (key[1:] != key[:-1])])
+                distinct = head | np.concatenate([[True], names[1:] != names[:-1]])
+                at = np.flatnonzero(head)
+                windows = np.add.reduceat(np.where(distinct, (last - first + 1)[order], 0), at)
+                rows = [(k, x.tobytes(), compress(n)) for k, (x, n) in by_bucket(bucket[at], key[at], windows)]
+                yield pd.DataFrame(rows, columns=["bucket", "keys", "windows"]).assign(batch=batch)
 
     return run
 
 
-def _shared_triggers(group: pd.DataFrame) -> pd.DataFrame:
-    """For each batch, the keys of a bucket that another batch has too."""
-    lists = [np.frombuffer(k, np.uint32) for k in group["keys"]]
-    keys, counts = np.unique(np.concatenate(lists), return_counts=True)
-    shared = keys[counts > 1]
-    rows = [(batch, np.intersect1d(own, shared, assume_unique=True)) for batch, own in zip(group["batch"], lists, strict=True)]
-    bucket = int(group["bucket"].iloc[0])
-    rows = [(batch, bucket, found.tobytes()) for batch, found in rows if len(found)]
-    return pd.DataFrame(rows, columns=["batch", "bucket", "keys"])
+def _shared_triggers(hot: int):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        """For each batch, the keys of a bucket that another batch has too, and which of them are hot."""
+        lists = [np.frombuffer(k, np.uint32) for k in group["keys"]]
+        keys, which, counts = np.unique(np.concatenate(lists), return_inverse=True, return_counts=True)
+        windows = np.bincount(which, np.concatenate([expand(w, np.int64) for w in group["windows"]]), len(keys))
+        shared = keys[counts > 1]
+        many = keys[(counts > 1) & (windows > hot)]
+        rows = []
+        for batch, own in zip(group["batch"], lists, strict=True):
+            found = np.intersect1d(own, shared, assume_unique=True)
+            if len(found):
+                rows.append((batch, found.tobytes(), np.intersect1d(found, many, assume_unique=True).tobytes()))
+        return pd.DataFrame(rows, columns=["batch", "keys", "hot"]).assign(bucket=int(group["bucket"].iloc[0]))
+
+    return run
 
 
 def _member(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -116,26 +142,46 @@ def _member(sorted_values: np.ndarray, values: np.ndarray) -> np.ndarray:
     return sorted_values[at] == values
 
 
+def _told(answers: list, name: str) -> np.ndarray:
+    """The codes (bucket and key) of a batch's answers, in order."""
+    codes = [(np.uint64(r["bucket"]) << np.uint64(32)) | np.frombuffer(r[name], np.uint32).astype(np.uint64) for r in answers]
+    return np.sort(np.concatenate(codes)) if codes else np.empty(0, np.uint64)
+
+
+def _words(texts: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """The windows at ``starts`` as big-endian words, the last one shorter."""
+    view = np.lib.stride_tricks.sliding_window_view(np.concatenate([texts, np.zeros(8, np.uint8)]), 8)
+    words = []
+    for k in range(0, LENGTH, 8):
+        word = np.ascontiguousarray(view[starts + k]).view(">u8").ravel().astype(np.uint64)
+        words.append(word >> np.uint64(8 * max(0, 8 - (LENGTH - k))))
+    return words
+
+
 class Dictionary:
-    """The distinct phrases of a batch whose trigger another document has too."""
+    """The distinct phrases of a batch whose trigger another document has too; of hot triggers, their windows."""
 
     def __init__(self, ids, bounds, data, answers, n_buckets: int):
         parts = [phrases(data, bounds, a, b) for a, b in pieces(bounds)]
         value, doc, first, last = (np.concatenate(x) for x in zip(*parts, strict=True))
         bucket, key = _codes(value, n_buckets)
         code = (bucket.astype(np.uint64) << np.uint64(32)) | key.astype(np.uint64)
-        known = [(np.uint64(k) << np.uint64(32)) | np.frombuffer(b, np.uint32).astype(np.uint64) for k, b in answers]
-        shared = _member(np.sort(np.concatenate(known)) if known else np.empty(0, np.uint64), code)
+        shared = _member(_told(answers, "keys"), code)
         # triggers that several documents of this batch have
         order = np.lexsort((doc, code))
         c, d = code[order], doc[order]
         change = (c[1:] == c[:-1]) & (d[1:] != d[:-1])
         shared |= _member(np.unique(c[1:][change]), code)
-        keep = np.flatnonzero(shared)
-        self.doc, self.first, self.last, bucket = doc[keep], first[keep], last[keep], bucket[keep]
+        hot = _member(_told(answers, "hot"), code)
+        keep, cut = np.flatnonzero(shared & ~hot), np.flatnonzero(hot)
+        windows = last[cut] - first[cut] + 1
+        single = np.repeat(first[cut] - (np.cumsum(windows) - windows), windows) + np.arange(int(windows.sum()))
+        self.doc = np.concatenate([doc[keep], np.repeat(doc[cut], windows)])
+        self.first, self.last = np.concatenate([first[keep], single]), np.concatenate([last[keep], single])
+        bucket = np.concatenate([bucket[keep], _window_buckets(data, single, n_buckets)])
         seen: dict[bytes, int] = {}
         texts, buckets, least, most = [], [], [], []
-        entry = np.empty(len(keep), np.int64)
+        entry = np.empty(len(bucket), np.int64)
         for n, (i, f, e, k) in enumerate(zip(ids[self.doc].tolist(), self.first.tolist(), self.last.tolist(), bucket.tolist(), strict=True)):
             text = data[f : e + LENGTH]
             at = seen.get(text)
@@ -153,12 +199,21 @@ class Dictionary:
         self.bucket, self.least, self.most = np.array(buckets, np.int64), np.array(least, np.int64), np.array(most, np.int64)
 
 
+def _window_buckets(data: bytes, starts: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Buckets of single windows, from all their bytes."""
+    code = np.zeros(len(starts), np.uint64)
+    if len(starts):
+        for word in _words(np.frombuffer(data, np.uint8), starts):
+            code = mix(code ^ word)
+    return (code % np.uint64(n_buckets)).astype(np.int64)
+
+
 def _ask_phrases(n_buckets: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for batch, ids, lens, blob, answers in frame[["batch", "ids", "lens", "blob", "answers"]].itertuples(index=False):
                 ids, bounds, data = unpacked(ids, lens, blob)
-                own = Dictionary(ids, bounds, data, [(r["bucket"], r["keys"]) for r in _listed(answers)], n_buckets)
+                own = Dictionary(ids, bounds, data, _listed(answers), n_buckets)
                 numbers = np.arange(len(own.texts))
                 for bucket, (which,) in by_bucket(own.bucket, numbers):
                     texts = [own.texts[i] for i in which]
@@ -183,13 +238,7 @@ def least_documents(texts: np.ndarray, starts: np.ndarray, least: np.ndarray) ->
     """
     if not len(starts):
         return np.empty(0, np.int64)
-    padded = np.concatenate([texts, np.zeros(8, np.uint8)])
-    view = np.lib.stride_tricks.sliding_window_view(padded, 8)
-    words = []
-    for k in range(0, LENGTH, 8):
-        word = np.ascontiguousarray(view[starts + k]).view(">u8").ravel().astype(np.uint64)
-        left = LENGTH - k
-        words.append(word if left >= 8 else word >> np.uint64(8 * (8 - left)))
+    words = _words(texts, starts)
     order = np.argsort(words[0], kind="stable")
     # most windows differ in their first words, so only ties are sorted by the others
     first = words[0][order]
@@ -260,7 +309,7 @@ def _removed(n_buckets: int, keep_text: bool):
                 ids, bounds, data = unpacked(ids, lens, blob)
                 starts = np.zeros(len(data) + 1, np.int8)
                 if found := _listed(found):
-                    own = Dictionary(ids, bounds, data, [(r["bucket"], r["keys"]) for r in _listed(answers)], n_buckets)
+                    own = Dictionary(ids, bounds, data, _listed(answers), n_buckets)
                     numbers = np.concatenate([expand(r["numbers"], np.int32) for r in found])
                     windows = np.concatenate([expand(r["windows"], np.int32) for r in found]).astype(np.int64)
                     least = np.concatenate([expand(r["found"], np.int64) for r in found])
@@ -288,15 +337,15 @@ def _removed(n_buckets: int, keep_text: bool):
     return run
 
 
-def remove_repeats(docs: DataFrame, keep_text: bool = True) -> DataFrame:
+def remove_repeats(docs: DataFrame, keep_text: bool = True, hot: int = HOT) -> DataFrame:
     """One row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the ``kept`` bytes."""
     scratch = Scratch(docs.sparkSession, "repeats")
     table, n_buckets = store_batches(docs, scratch)
-    asked = table.mapInPandas(_ask_triggers(n_buckets), "bucket long, keys binary, batch long")
-    shared = asked.groupBy("bucket").applyInPandas(_shared_triggers, "batch long, bucket long, keys binary")
+    asked = table.mapInPandas(_ask_triggers(n_buckets), "bucket long, keys binary, windows binary, batch long")
+    shared = asked.groupBy("bucket").applyInPandas(_shared_triggers(hot), "batch long, keys binary, hot binary, bucket long")
     shared = scratch.save(shared, "shared")
     # a batch gets back at most what it asked
-    answers = shared.groupBy("batch").agg(F.collect_list(F.struct("bucket", "keys")).alias("answers"))
+    answers = shared.groupBy("batch").agg(F.collect_list(F.struct("bucket", "keys", "hot")).alias("answers"))
     answers = scratch.save(answers, "answers").hint("merge")
     told = table.join(answers, "batch", "left")
     asked = told.mapInPandas(_ask_phrases(n_buckets), ASK)

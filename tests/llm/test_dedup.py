@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -246,21 +247,46 @@ def brute_removed(rows):
 REMOVED = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
-@pytest.mark.parametrize("batch", [400, 1 << 22])
-def test_repeats_equal_brute_force(spark, monkeypatch, batch):
-    monkeypatch.setattr(batched, "BATCH_BYTES", batch)
+@pytest.mark.parametrize("hot", [0, 300, repeats.HOT])
+def test_repeats_equal_brute_force(spark, hot):
     chance = random.Random(8)
     shared = ["".join(chance.choices("abcd é\n", k=chance.randint(30, 160))) for _ in range(6)] + ["ab" * 60, "a" * 90]
     rows = []
     for i in range(60):
         text = "".join(chance.choice(shared) if chance.random() < 0.5 else "".join(chance.choices("abcdé ", k=chance.randint(0, 90))) for _ in range(5))
         rows.append((chance.randrange(50), text))
-    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = repeats.remove_repeats(docs).select(*REMOVED, "kept").collect()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    got = repeats.remove_repeats(docs, hot=hot).select(*REMOVED, "kept").collect()
     assert sorted((tuple(r)[:5] for r in got), key=str) == brute_removed(rows)
     assert all(hashlib.sha256(r["kept"]).hexdigest() == r["kept_sha256"] for r in got)
 
 
+def test_windows_of_a_common_passage_are_dealt():
+    chance = random.Random(3)
+    passage = chance.randbytes(120)
+    texts = [chance.randbytes(80) + passage + chance.randbytes(80) for _ in range(40)]
+    batches = [texts[:20], texts[20:]]
+    frames = [
+        pd.DataFrame({
+            "batch": [n], "ids": [np.arange(20) + 20 * n], "lens": [np.array([len(t) for t in own])],
+            "blob": [batched.compress(np.frombuffer(b"".join(own), np.uint8))],
+        })
+        for n, own in enumerate(batches)
+    ]
+    asked = pd.concat(repeats._ask_triggers(8)(iter(frames)))
+    parts = [g for _, g in asked.groupby("bucket")]
+    for hot, largest in ((10**9, False), (100, True)):
+        told = pd.concat([repeats._shared_triggers(hot)(g) for g in parts])
+        for frame in frames:
+            frame["answers"] = [told[told["batch"] == frame["batch"][0]].to_dict("records")]
+        out = pd.concat(repeats._ask_phrases(8)(iter(frames)))
+        sizes = [np.concatenate([batched.expand(b, np.int32) for b in g["sizes"]]) for _, g in out.groupby("bucket")]
+        windows = [int((x - repeats.LENGTH + 1).sum()) for x in sizes]
+        assert sum(windows) >= 2 * (120 - repeats.LENGTH + 1)
+        # edge windows differ in every text: by trigger they share few buckets, by bytes all of them
+        assert (len(windows) == 8 and max(windows) < 0.3 * sum(windows)) == largest
+
+
 def test_repeats_of_odd_documents(odd_docs, odd_rows):
     rows = [(i, t) for i, t in odd_rows if len(t or "") < 10_000]
     docs = odd_docs.where("length(coalesce(text, '')) < 10000")
