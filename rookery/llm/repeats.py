@@ -37,6 +37,7 @@ from rookery.plans.scratch import Scratch
 
 LENGTH, GRAM = 50, 24
 HOT = 1 << 19  # windows of one trigger that are compared in one group
+PIECE = 1 << 17  # bytes of whole documents hashed at once, so that the arrays stay in cache
 _rng = np.random.Generator(np.random.PCG64(977))
 _BYTE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64)
 _TIMES = _rng.integers(1, 1 << 63, 64, dtype=np.uint64) | np.uint64(1)
@@ -97,20 +98,27 @@ def _ask_triggers(n_buckets: int):
         for frame in frames:
             for batch, ids, lens, blob in frame[["batch", "ids", "lens", "blob"]].itertuples(index=False):
                 _, bounds, data = unpacked(ids, lens, blob)
-                parts = [phrases(data, bounds, a, b) for a, b in pieces(bounds)]
+                parts = [phrases(data, bounds, a, b) for a, b in pieces(bounds, PIECE)]
                 value, _, first, last = (np.concatenate(x) for x in zip(*parts, strict=True))
                 if not len(value):
                     continue
                 bucket, key = _codes(value, n_buckets)
-                names = [hash(data[f : e + LENGTH]) for f, e in zip(first.tolist(), last.tolist(), strict=True)]
-                names = np.array(names, np.int64)
-                order = np.lexsort((names, key, bucket))
-                bucket, key, names = bucket[order], key[order], names[order]
-                head = np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (key[1:] != key[:-1])])
-                distinct = head | np.concatenate([[True], names[1:] != names[:-1]])
-                at = np.flatnonzero(head)
-                windows = np.add.reduceat(np.where(distinct, (last - first + 1)[order], 0), at)
-                rows = [(k, x.tobytes(), compress(n)) for k, (x, n) in by_bucket(bucket[at], key[at], windows)]
+                code = (bucket.astype(np.uint64) << np.uint64(32)) | key.astype(np.uint64)
+                order = np.argsort(code, kind="stable")
+                code, first, last = code[order], first[order], last[order]
+                head = np.concatenate([[True], code[1:] != code[:-1]])
+                at, of = np.flatnonzero(head), np.cumsum(head) - 1
+                # only phrases of a trigger that occurs again can be equal
+                again = np.flatnonzero(~(head & np.append(head[1:], True)))
+                names = [hash(data[f : e + LENGTH]) for f, e in zip(first[again].tolist(), last[again].tolist(), strict=True)]
+                names = mix(np.array(names, np.int64).view(np.uint64) ^ code[again])
+                windows = last - first + 1
+                copies = np.ones(len(again), bool)
+                copies[np.unique(names, return_index=True)[1]] = False
+                windows[again[copies]] = 0
+                windows = np.bincount(of, windows).astype(np.int64)
+                bucket, key = bucket[order[at]], key[order[at]]
+                rows = [(k, x.tobytes(), compress(n)) for k, (x, n) in by_bucket(bucket, key, windows)]
                 yield pd.DataFrame(rows, columns=["bucket", "keys", "windows"]).assign(batch=batch)
 
     return run
@@ -162,7 +170,7 @@ class Dictionary:
     """The distinct phrases of a batch whose trigger another document has too; of hot triggers, their windows."""
 
     def __init__(self, ids, bounds, data, answers, n_buckets: int):
-        parts = [phrases(data, bounds, a, b) for a, b in pieces(bounds)]
+        parts = [phrases(data, bounds, a, b) for a, b in pieces(bounds, PIECE)]
         value, doc, first, last = (np.concatenate(x) for x in zip(*parts, strict=True))
         bucket, key = _codes(value, n_buckets)
         code = (bucket.astype(np.uint64) << np.uint64(32)) | key.astype(np.uint64)
