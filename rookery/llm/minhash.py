@@ -15,10 +15,10 @@ text that shares most bands with others is the pivot, every other member of a fi
 is compared with it, and verified links are united. Groups that still hold several components
 go on with 8, 64, ... new pivots until one component or no uncompared pair is left: no
 group is expanded into all pairs while a few pivots connect it, and no link between members
-of one group is lost. Before each further turn the shingles of the texts still in play are
-counted: those found in one text only can be in no overlap, so a text cannot overlap another
-by more than the rest, and texts (and then pairs) that cannot reach the threshold leave
-uncompared. Edited copies just below the threshold end there, since their edits are their
+of one group is lost. After the first turn the shingles of the texts still in play are
+counted, once: those found in one text only can be in no overlap, so a text cannot overlap
+another by more than the rest, and texts (and then pairs) that cannot reach the threshold
+leave uncompared, in this turn and the next ones. Edited copies just below the threshold end there, since their edits are their
 own. A pair that meets in several bands or turns is compared once. Copies (equal words) are
 one node throughout. Superseded tables are dropped as the turns go on.
 
@@ -156,14 +156,18 @@ def _reach(shared, size, other, similarity: float):
     return shared >= similarity * (size + other - shared) - 1e-9
 
 
-def _able(members: DataFrame, weighed: DataFrame, similarity: float) -> DataFrame:
-    """Members that may have a link to another member, with ``shared``: strips that are not theirs alone."""
+def _shared(members: DataFrame, weighed: DataFrame) -> DataFrame:
+    """Members with ``shared``: how many of their strips another text in play has too."""
     live = members.select("content").distinct()
     strip = weighed.join(live, "content", "left_semi").select("content", F.explode("strips").alias("strip"))
     owners = strip.groupBy("strip").agg(F.count(F.lit(1)).alias("n"), F.any_value("content").alias("content"))
     own = owners.where("n = 1").groupBy("content").agg(F.count(F.lit(1)).alias("own"))
     members = members.drop("shared").join(own, "content", "left")
-    members = members.withColumn("shared", F.col("size") - F.coalesce("own", F.lit(0))).drop("own")
+    return members.withColumn("shared", F.col("size") - F.coalesce("own", F.lit(0))).drop("own")
+
+
+def _able(members: DataFrame, similarity: float) -> DataFrame:
+    """Members that may have a link to another member."""
     # the least partner of a member is the least text of its group, and of a fitting size
     least = members.groupBy("key").agg(F.min("size").alias("least"))
     other = F.greatest("least", F.col("size") * similarity)
@@ -210,11 +214,15 @@ def _links(members: DataFrame, weighed: DataFrame, similarity: float, scratch: S
         rest = _rooted(members.join(past, ["key", "content"], "left_anti"), "root", unions[-1:])
         rest = scratch.save(rest, f"rest_{turn}")
         open_ = scratch.save(_undecided(rest), f"open_{turn}")
-        able = scratch.save(_able(open_, weighed, similarity), f"able_{turn}")
+        if turn == 0:
+            open_ = scratch.save(_shared(open_, weighed), "shared")
+        able = scratch.save(_able(open_, similarity), f"able_{turn}")
         members = scratch.save(_undecided(able), f"members_{turn}")
         superseded = [f"members_{turn - 1}"] if turn else []
         for label in (f"pivots_{turn}", f"links_{turn}", f"rest_{turn}", f"open_{turn}", f"able_{turn}", *superseded):
             scratch.drop(label)
+        if turn == 0:
+            scratch.drop("shared")
         turn += 1
         if members.isEmpty():
             return unions

@@ -135,7 +135,8 @@ def test_members_that_leave_uncompared_have_no_link(spark):
     weighed = spark.createDataFrame([(0, t) for t in texts], "doc_id long, text string")
     weighed = weighed.mapInPandas(minhash._weighed, "content binary, strips array<long>").cache()
     members = weighed.select(F.lit(1).alias("key"), "content", F.size("strips").alias("size"))
-    able = {bytes(r["content"]): r["shared"] for r in minhash._able(members.withColumn("shared", F.col("size")), weighed, 0.8).collect()}
+    counted = minhash._shared(members.withColumn("shared", F.col("size")), weighed)
+    able = {bytes(r["content"]): r["shared"] for r in minhash._able(counted, 0.8).collect()}
     sets = [(bytes(r["content"]), set(r["strips"])) for r in weighed.collect()]
     linked = set()
     for a, x in sets:
