@@ -1,9 +1,14 @@
+import glob
 import random
+import tempfile
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from rookery.operators.adsorption import run_adsorption
 from rookery.operators.graph import adjacency, build_edges, degree_counts, edge_weights, social_graph
+from rookery.plans.scratch import SHUFFLE_CLEANUP, Scratch
 from tests.dense import dense_labels
 
 
@@ -146,3 +151,57 @@ def test_slow_graph_runs_to_the_cap(spark):
     want, rounds = dense_labels(plain, graph["users"], max_iter=6, tol=1e-12)
     assert run.rounds == rounds == 6 and not run.converged
     assert_same(got, want)
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_many_chunks_and_parts_equal_dense(spark, seed):
+    graph = random_graph(seed)
+    got, run, plain = propagate(spark, graph, max_iter=4, cells=8, arc_limit=3, fan_limit=2)
+    assert run.graph.parts > 1
+    want, rounds = dense_labels(plain, graph["users"], max_iter=4)
+    assert run.rounds == rounds
+    assert_same(got, want)
+
+
+def test_article_vectors_are_not_stored_and_superseded_rounds_go(spark):
+    users, links = [f"u{i}" for i in range(4)], [f"l{i}" for i in range(40)]
+    graph = dict(
+        users=users, interests=[(u, "X") for u in users], likes=[(u, x) for u in users for x in links],
+        articles=[("X", x) for x in links],
+    )
+    got, run, plain = propagate(spark, graph, max_iter=4, tol=None)
+    assert {kind for kind, _, _ in got} == {"user", "category", "article"}
+    assert run.vectors.where("pmod(node, 4) = 2").isEmpty()
+    assert spark.read.schema(run.vectors.schema).parquet(run.scratch.path("labels_2")).isEmpty()
+
+
+def test_edges_between_articles(spark):
+    weighted = [
+        ("user", "a", "article", "p", 1.0), ("article", "p", "article", "q", 0.5), ("article", "p", "user", "b", 0.5),
+        ("article", "q", "user", "a", 1.0), ("user", "b", "article", "q", 0.4), ("user", "b", "category", "X", 0.6),
+        ("category", "X", "article", "p", 1.0),
+    ]
+    edges = spark.createDataFrame(weighted, "src_type string, src string, dst_type string, dst string, w double")
+    run = run_adsorption(edges, spark.createDataFrame([("a",), ("b",)], "username string"), max_iter=5, tol=1e-9)
+    got = {(r.node_type, r.node, r.label): r.weight for r in run.labels.collect()}
+    plain = [((e[0], e[1]), (e[2], e[3]), e[4]) for e in weighted]
+    want, rounds = dense_labels(plain, ["a", "b"], max_iter=5, tol=1e-9)
+    assert run.rounds == rounds
+    assert_same(got, want)
+
+
+def test_a_write_leaves_no_shuffle_files(spark):
+    scratch, root = Scratch(spark, "shuffles"), shuffle_root(spark)
+    setting, before = spark.conf.get(SHUFFLE_CLEANUP), set(glob.glob(f"{root}/**/shuffle_*.data", recursive=True))
+    scratch.save(spark.range(1000).groupBy((F.col("id") % 10).alias("k")).agg(F.count("*").alias("n")), "counts")
+    for _ in range(50):  # files go in the background
+        left = set(glob.glob(f"{root}/**/shuffle_*.data", recursive=True)) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
+    assert spark.conf.get(SHUFFLE_CLEANUP) == setting
+
+
+def shuffle_root(spark):
+    return spark.conf.get("spark.local.dir", None) or tempfile.gettempdir()
