@@ -4,6 +4,7 @@ from dataclasses import dataclass
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from rookery.operators.ranking import recommend, score_articles, update_seen
 from rookery.plans.recommend import SocialTables, read_stored, refresh, store_refresh
@@ -275,3 +276,17 @@ def test_bucketed_lookup_shuffles_the_keys_only(spark, tmp_path, rows):
     assert any("Bucketed: true" in line for line in stored), plan
     assert not any("Exchange" in line for line in stored), plan
     spark.sql(f"DROP TABLE {table}")
+
+
+def test_large_buckets_are_written_by_several_tasks(spark, tmp_path):
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    rows_ = spark.range(20000).select((F.col("id") % 7000).cast("string").alias("k"), "id")
+    spark.conf.set(size, "16k")
+    try:
+        name = store_bucketed(rows_, str(tmp_path / "large"), ["k"], 2)
+    finally:
+        spark.conf.set(size, before)
+    assert len(list((tmp_path / "large").glob("*.parquet"))) > 2
+    stored = spark.table(name)
+    assert stored.count() == 20000 and stored.exceptAll(rows_).isEmpty()
