@@ -2,6 +2,7 @@ import json
 import os
 from dataclasses import dataclass
 from datetime import date
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -290,3 +291,27 @@ def test_large_buckets_are_written_by_several_tasks(spark, tmp_path):
     assert len(list((tmp_path / "large").glob("*.parquet"))) > 2
     stored = spark.table(name)
     assert stored.count() == 20000 and stored.exceptAll(rows_).isEmpty()
+
+
+def test_stored_scores_leave_no_tables_of_the_propagation(spark, tmp_path):
+    import __spark_entry__ as entry
+    from rookery.plans.scratch import scratch_root
+    from rookery.sources.sample_tables import SampleTables
+
+    def tables():
+        return {p for p in Path(scratch_root(spark)).glob("adsorption-*/*/") if p.is_dir()}
+
+    kinds = F.element_at(F.array(*map(F.lit, ("signup", "purchase", "view", "click"))), (F.col("id") % 4 + 1).cast("int"))
+    events = spark.range(80).select(
+        F.col("id").alias("event_id"), (F.col("id") * 7 % 5).alias("user_id"), kinds.alias("event_type"),
+        F.format_string('{"k": %d}', F.col("id") % 9).alias("props"), F.timestamp_seconds(F.col("id") + 1700000000).alias("ts"),
+    )
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    spark.range(12).select(
+        F.col("id").alias("doc_id"), F.lit("some words").alias("text"), F.lit("en").alias("lang"),
+        F.concat(F.lit("src"), F.col("id") % 3).alias("source"),
+    ).write.parquet(str(tmp_path / "documents.parquet"))
+    before = tables()
+    t = SampleTables(spark, str(tmp_path))
+    scores = entry.QUERIES["article_scores_unfiltered"](t)
+    assert scores.count() > 0 and not tables() - before
