@@ -175,6 +175,24 @@ def test_article_vectors_are_not_stored_and_superseded_rounds_go(spark):
     assert spark.read.schema(run.vectors.schema).parquet(run.scratch.path("labels_2")).isEmpty()
 
 
+@pytest.mark.parametrize("max_iter, tol", [(2, None), (4, 0.05)])
+def test_blocks_of_chunks_equal_dense(spark, max_iter, tol):
+    graph = random_graph(4)
+    got, run, plain = propagate(spark, graph, max_iter=max_iter, tol=tol, cells=8, arc_limit=3, fan_limit=2, block=1)
+    assert run.graph.blocks == run.graph.chunks > 1
+    want, rounds = dense_labels(plain, graph["users"], max_iter=max_iter, tol=-1.0 if tol is None else tol)
+    assert run.rounds == rounds
+    assert_same(got, want)
+
+
+def test_the_vectors_of_a_second_and_last_round_are_not_stored(spark):
+    graph = random_graph(5)
+    _, run, _ = propagate(spark, graph, max_iter=2, tol=None)
+    stored = {p.rsplit("/", 2)[1] for p in glob.glob(run.scratch.path("*/block=0"))}
+    assert "labels_1" in stored and "labels_2" not in stored
+    assert not run.vectors.isEmpty()
+
+
 def test_edges_between_articles(spark):
     weighted = [
         ("user", "a", "article", "p", 1.0), ("article", "p", "article", "q", 0.5), ("article", "p", "user", "b", 0.5),
