@@ -28,12 +28,10 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         turn += 1
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = scratch.save(large.where("a != b").distinct(), f"{name}_large_{turn}")
+        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         small = small.unionByName(least.select("a", F.col("m").alias("b")))
         edges = scratch.save(small.where("a != b").distinct(), f"{name}_{turn}")
         scratch.drop(f"{name}_{turn - 1}")
-        scratch.drop(f"{name}_large_{turn}")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -15,7 +15,8 @@ text that shares most bands with others is the pivot, every other member of a fi
 is compared with it, and verified links are united. Groups that still hold several components
 go on with 8, 64, ... new pivots until one component or no uncompared pair is left: no
 group is expanded into all pairs while a few pivots connect it, and no link between members
-of one group is lost. After the first turn the shingles of the texts still in play are
+of one group is lost. Steps of this ladder are skipped while a turn's pairs stay below
+64 for each row of the first groups, so groups of moderate size need two turns. After the first turn the shingles of the texts still in play are
 counted, once: those found in one text only can be in no overlap, so a text cannot overlap
 another by more than the rest, and texts (and then pairs) that cannot reach the threshold
 leave uncompared, in this turn and the next ones. Edited copies just below the threshold end there, since their edits are their
@@ -29,7 +30,6 @@ their own text; an empty table gives an empty result; further columns are ignore
 
 import hashlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -41,6 +41,7 @@ from rookery.llm.words import GOLD, batches, mix, shingle_hashes, word_hashes
 from rookery.plans.scratch import Scratch
 
 SHINGLE, SIMILARITY, BANDS, ROWS = 5, 0.8, 36, 11
+WIDER, PAIRS = 8, 64  # pivots of a turn for each of the turn before; pairs of a turn for each member of the first one
 SKETCH = "doc_id long, content binary, size int, bands array<long>"
 
 
@@ -144,11 +145,11 @@ def _similarity(left: pd.Series, right: pd.Series) -> pd.Series:
 
 
 def _verified(pairs: DataFrame, weighed: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose texts are similar enough."""
+    """The pairs (a, b) whose texts are similar enough; both tables name a pair or text once."""
     left = weighed.select(F.col("content").alias("a"), F.col("strips").alias("x"))
     right = weighed.select(F.col("content").alias("b"), F.col("strips").alias("y"))
     joined = pairs.join(left, "a").join(right, "b")
-    return joined.where(_similarity("x", "y") >= similarity - 1e-12).select("a", "b").distinct()
+    return joined.where(_similarity("x", "y") >= similarity - 1e-12).select("a", "b")
 
 
 def _reach(shared, size, other, similarity: float):
@@ -175,14 +176,25 @@ def _able(members: DataFrame, similarity: float) -> DataFrame:
 
 
 def _undecided(members: DataFrame) -> DataFrame:
-    """Members of the groups that still hold several components."""
-    roots = members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo != hi")
-    return members.join(roots.select("key"), "key", "left_semi")
+    """Members of the groups that still hold several components, with ``n``, their group's size."""
+    size = F.count(F.lit(1)).alias("n")
+    roots = members.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), size).where("lo != hi")
+    return members.drop("n").join(roots.select("key", "n"), "key")
 
 
-def _links(members: DataFrame, weighed: DataFrame, similarity: float, scratch: Scratch) -> list[DataFrame]:
-    """Unions (node, root) of one turn after the other; ``members(key, content, size, fame)``."""
-    unions, compared, turn = [], None, 0
+def _wider(members: DataFrame, width: int, most: int) -> int:
+    """Pivots of each group in the next turn, none without members."""
+    widths = [width * WIDER**k for k in range(1, 8)]
+    pairs = members.agg(*(F.sum(F.least("n", F.lit(w))).alias(str(w)) for w in widths)).first()
+    if pairs[0] is None:
+        return 0
+    return max([widths[0], *(w for w in widths if pairs[str(w)] <= most)])
+
+
+def _links(members: DataFrame, weighed: DataFrame, similarity: float, scratch: Scratch) -> DataFrame:
+    """(node, root) of every text that is linked to a root; ``members(key, content, size, fame)``."""
+    linked, compared, turn, width = None, None, 0, 1
+    pairs_most = PAIRS * members.count()
     members = members.withColumn("root", F.col("content")).withColumn("shared", F.col("size").cast("long"))
     columns = ("fame", "content", "root", "size", "shared")
     pivot = [F.col(c).alias(f"pivot_{c}") for c in columns]
@@ -192,7 +204,7 @@ def _links(members: DataFrame, weighed: DataFrame, similarity: float, scratch: S
             pivots = most.select("key", "p.*").select("key", *pivot)
         else:
             famous = Window.partitionBy("key").orderBy(F.desc("fame"), F.desc("content"))
-            pivots = members.withColumn("nth", F.row_number().over(famous)).where(F.col("nth") <= 8**turn)
+            pivots = members.withColumn("nth", F.row_number().over(famous)).where(F.col("nth") <= width)
             pivots = pivots.select("key", *pivot)
         pivots = scratch.save(pivots, f"pivots_{turn}")
         # sizes and shared strips bound the similarity before any comparison
@@ -208,24 +220,27 @@ def _links(members: DataFrame, weighed: DataFrame, similarity: float, scratch: S
         pairs = scratch.save(pairs, f"pairs_{turn}")
         compared = pairs if compared is None else compared.unionByName(pairs)
         found = scratch.save(_verified(pairs, weighed, similarity), f"links_{turn}")
-        unions.append(components(_at_roots(found, unions), scratch, f"components_{turn}"))
+        found = found if linked is None else _rooted(_rooted(found, "a", linked), "b", linked)
+        union = components(found, scratch, f"components_{turn}")
+        # nodes of former turns are no roots any more, so none has two rows
+        linked = union if linked is None else _rooted(linked, "root", union).unionByName(union)
         # compared pivots leave; groups of one component are done
         past = pivots.select("key", F.col("pivot_content").alias("content"))
-        rest = _rooted(members.join(past, ["key", "content"], "left_anti"), "root", unions[-1:])
+        rest = _rooted(members.join(past, ["key", "content"], "left_anti"), "root", union)
         rest = scratch.save(rest, f"rest_{turn}")
         open_ = scratch.save(_undecided(rest), f"open_{turn}")
+        if open_.isEmpty():
+            return linked
         if turn == 0:
             open_ = scratch.save(_shared(open_, weighed), "shared")
-        able = scratch.save(_able(open_, similarity), f"able_{turn}")
-        members = scratch.save(_undecided(able), f"members_{turn}")
-        superseded = [f"members_{turn - 1}"] if turn else []
-        for label in (f"pivots_{turn}", f"links_{turn}", f"rest_{turn}", f"open_{turn}", f"able_{turn}", *superseded):
+        members = scratch.save(_undecided(_able(open_, similarity)), f"members_{turn}")
+        superseded = [f"members_{turn - 1}"] if turn else ["shared"]
+        for label in (f"pivots_{turn}", f"links_{turn}", f"rest_{turn}", f"open_{turn}", *superseded):
             scratch.drop(label)
-        if turn == 0:
-            scratch.drop("shared")
         turn += 1
-        if members.isEmpty():
-            return unions
+        width = _wider(members, width, pairs_most)
+        if not width:
+            return linked
 
 
 def _classes(docs: DataFrame, similarity: float, bands: int, rows: int) -> DataFrame:
@@ -241,22 +256,19 @@ def _classes(docs: DataFrame, similarity: float, bands: int, rows: int) -> DataF
     nodes = scratch.save(nodes, "nodes")
     banded = nodes.select("content", "size", F.explode("bands").alias("key"))
     sizes = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members = scratch.save(banded.join(scratch.save(sizes, "sizes"), "key"), "members")
-    fame = members.groupBy("content").agg(F.sum("n").alias("fame"))
-    members = scratch.save(members.drop("n").join(fame, "content"), "famed")
-    wanted = nodes.join(members.select("content").distinct(), "content", "left_semi").select("id").distinct()
+    # a text has a row a band at most
+    fame = F.sum("n").over(Window.partitionBy("content"))
+    members = banded.join(scratch.save(sizes, "sizes"), "key").withColumn("fame", fame).drop("n")
+    members = scratch.save(members, "famed")
+    wanted = nodes.join(members.select("content").distinct(), "content", "left_semi").select("id")
     # a repeated id brings further texts along, which no pair asks for
     texts = docs.select("doc_id", "text").join(wanted.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
     weighed = scratch.save(texts.mapInPandas(_weighed, "content binary, strips array<long>").dropDuplicates(["content"]), "weighed")
-    for label in ("nodes", "sizes", "members"):
+    for label in ("nodes", "sizes"):
         scratch.drop(label)
-    unions = _links(members, weighed, similarity, scratch)
+    linked = _links(members, weighed, similarity, scratch)
     scratch.drop("weighed")
-    linked = reduce(DataFrame.unionByName, [u.select(F.col("node").alias("content")) for u in unions])
-    linked = linked.unionByName(reduce(DataFrame.unionByName, [u.select(F.col("root").alias("content")) for u in unions]))
-    linked = _rooted(linked.distinct().withColumn("root", F.col("content")), "root", unions)
-    placed = known.select("doc_id", "content").join(scratch.save(linked, "linked"), "content", "left")
-    placed = scratch.save(placed.withColumn("root", F.coalesce("root", "content")), "placed")
+    placed = scratch.save(_rooted(known.select("doc_id", "content", F.col("content").alias("root")), "root", linked), "placed")
     # the row that stays: the smallest id, a null one last, then the smallest text name
     first = F.min(F.struct(F.col("doc_id").isNull().alias("gap"), "doc_id", "content")).alias("first")
     classes = placed.groupBy("root").agg(first, F.count(F.lit(1)).alias("class_size"))
@@ -280,16 +292,10 @@ def near_classes(
     return _classes(docs, similarity, bands, rows).drop("content")
 
 
-def _rooted(rows: DataFrame, column: str, unions: list[DataFrame]) -> DataFrame:
-    """``rows`` with the nodes in a column replaced by their roots after some turns."""
-    for union in unions:
-        named = union.select(F.col("node").alias(column), F.col("root").alias("_root"))
-        rows = rows.join(named, column, "left").withColumn(column, F.coalesce("_root", column)).drop("_root")
-    return rows
-
-
-def _at_roots(edges: DataFrame, unions: list[DataFrame]) -> DataFrame:
-    return _rooted(_rooted(edges, "a", unions), "b", unions)
+def _rooted(rows: DataFrame, column: str, union: DataFrame) -> DataFrame:
+    """``rows`` with the nodes in a column replaced by their roots."""
+    named = union.select(F.col("node").alias(column), F.col("root").alias("_root"))
+    return rows.join(named, column, "left").withColumn(column, F.coalesce("_root", column)).drop("_root")
 
 
 @F.pandas_udf(BinaryType())

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rookery.llm import batched, exact, minhash, repeats, shards
+from rookery.plans.scratch import Scratch
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -130,6 +131,21 @@ def test_near_classes_of_a_family_around_the_threshold(spark):
     assert got_classes(got) == brute_classes(rows, lambda i, j: bool(bands[i] & bands[j]))
 
 
+@pytest.mark.parametrize(("pairs", "turns"), [(minhash.PAIRS, 2), (0, 3)])
+def test_groups_of_moderate_size_take_two_turns(spark, monkeypatch, pairs, turns):
+    """The links are the same however many turns they take."""
+    rows = list(enumerate(edited_family(8, 120)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sketch = docs.mapInPandas(minhash._sketch(minhash.BANDS, minhash.ROWS), minhash.SKETCH).collect()
+    bands = {r["doc_id"]: set(r["bands"]) for r in sketch}
+    labels, save = [], Scratch.save
+    monkeypatch.setattr(Scratch, "save", lambda self, df, label: labels.append(label) or save(self, df, label))
+    monkeypatch.setattr(minhash, "PAIRS", pairs)
+    got = minhash.near_classes(docs).collect()
+    assert got_classes(got) == brute_classes(rows, lambda i, j: bool(bands[i] & bands[j]))
+    assert sum(x.startswith("pivots_") for x in labels) == turns
+
+
 def test_members_that_leave_uncompared_have_no_link(spark):
     texts = edited_family(5, 80)
     weighed = spark.createDataFrame([(0, t) for t in texts], "doc_id long, text string")
